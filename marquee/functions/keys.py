@@ -55,7 +55,10 @@ def key_parts(row: dict[str, Column] | None = None) -> Column:
             date.isNotNull().alias("dated"),
         )
 
-    return bind(day_and_offset(F.coalesce(date, F.lit(UNDATED))), parts)
+    text = F.coalesce(date, F.lit(UNDATED)).cast("string")
+    # text that is no date still gets a key of its own, so such rows are never merged or lost
+    raw = F.struct(text.alias("day"), text.alias("offset"))
+    return bind(F.coalesce(day_and_offset(text), raw), parts)
 
 
 def entity_key(row: dict[str, Column] | None = None) -> Column:
