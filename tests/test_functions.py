@@ -177,7 +177,7 @@ def test_absolute_url(spark):
     hrefs = [
         "b.html", "/b", "?p=2", "#top", "//cdn.example.org/x", "https://o.example.org/../a", "..",
         "../b/./c", "./", "../../../../d", "", "mailto:x@y.org", "/a/../b/", "b//c", "b?x=/../y",
-        "/", "..?z",
+        "/", "..?z", " /one ", "\ta\nb",
     ]
     frame = spark.createDataFrame([(b, h) for b in bases for h in hrefs], "b string, h string")
     rows = frame.select("b", "h", urls.absolute_url(F.col("b"), F.col("h")).alias("u")).collect()
