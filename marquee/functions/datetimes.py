@@ -7,7 +7,9 @@ time zone.
 
 from __future__ import annotations
 
+import re
 import zoneinfo
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -40,8 +42,19 @@ def zone_names() -> list[str]:
     return sorted(zoneinfo.available_timezones() - _UNKNOWN)
 
 
+@cache
+def _zone_pattern() -> str:
+    """All names as one pattern, those of a region together."""
+    regions: dict[str, list[str]] = {}
+    for name in zone_names():
+        region, slash, place = name.partition("/")
+        regions.setdefault(region + slash, []).append(re.escape(place))
+    parts = (f"{re.escape(region)}(?:{'|'.join(places)})" for region, places in regions.items())
+    return rf"\A(?:{'|'.join(parts)})\z"
+
+
 def is_zone_name(name: Column) -> Column:
-    return F.coalesce(name.isin(zone_names()), F.lit(False))
+    return F.coalesce(F.regexp_like(name, F.lit(_zone_pattern())), F.lit(False))
 
 
 def parse_iso(text: Column) -> Column:

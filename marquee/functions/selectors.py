@@ -47,21 +47,26 @@ def _selector_and_attr(expression: Column) -> Column:
 
 def field_spec(name: Column, expression: Column) -> Column:
     """A field rule as (field, selector, attr, multi, text_fallback)."""
-    text = strip(expression)
-    multi = F.endswith(text, F.lit("[]"))
-    single = _cut_suffix(text, "[]")
-    fallback = F.endswith(single, F.lit("|text"))
-    bare = F.replace(_cut_suffix(single, "|text"), F.lit(" @"), F.lit("@"))
-    return bind(
-        _selector_and_attr(bare),
-        lambda part: F.struct(
-            name.alias("field"),
-            part["selector"].alias("selector"),
-            part["attr"].alias("attr"),
-            multi.alias("multi"),
-            fallback.alias("text_fallback"),
-        ),
-    )
+
+    def from_text(text: Column) -> Column:
+        multi = F.endswith(text, F.lit("[]"))
+        return bind(_cut_suffix(text, "[]"), lambda single: from_single(single, multi))
+
+    def from_single(single: Column, multi: Column) -> Column:
+        fallback = F.endswith(single, F.lit("|text"))
+        bare = F.replace(_cut_suffix(single, "|text"), F.lit(" @"), F.lit("@"))
+        return bind(
+            bind(bare, _selector_and_attr),
+            lambda part: F.struct(
+                name.alias("field"),
+                part["selector"].alias("selector"),
+                part["attr"].alias("attr"),
+                multi.alias("multi"),
+                fallback.alias("text_fallback"),
+            ),
+        )
+
+    return bind(strip(expression), from_text)
 
 
 def field_specs(fields: Column) -> Column:
@@ -72,4 +77,4 @@ def field_specs(fields: Column) -> Column:
 def link_spec(expression: Column) -> Column:
     """The next-page rule as (selector, attr); the attribute defaults to href when it is used."""
     bare = F.replace(strip(expression), F.lit(" @"), F.lit("@"))
-    return _selector_and_attr(_cut_suffix(bare, "[]"))
+    return bind(bind(bare, lambda text: _cut_suffix(text, "[]")), _selector_and_attr)

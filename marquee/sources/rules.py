@@ -44,10 +44,9 @@ def parse(documents: DataFrame) -> DataFrame:
 def read(spark: SparkSession, root: str, pattern: str = "*.yaml") -> DataFrame:
     """All rule files under ``root``; rule_path is relative to it, as the registry writes it."""
     files = (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
+        spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
-        .text(root)
+        .text(root, wholetext=True)
     )
     base = root.rstrip("/") + "/"
     path = F.col("_metadata.file_path")

@@ -48,8 +48,10 @@ def read_reject_files(spark: SparkSession, path: str) -> DataFrame:
         spark.read.schema(REJECT).option("multiLine", True).json(f"{path.rstrip('/')}/reject_*.json")
     )
     stamp = _last_part(r".*_(\d{8}T\d{6}\d{1,6})\.json\z")
-    padded = F.rpad(F.replace(stamp, F.lit("T"), F.lit("")), 20, "0")
-    named = F.try_to_timestamp(padded, F.lit("yyyyMMddHHmmssSSSSSS"))
+    readable = F.regexp_replace(
+        stamp, r"\A(\d{4})(\d\d)(\d\d)T(\d\d)(\d\d)(\d\d)(\d+)\z", "$1-$2-$3 $4:$5:$6.$7"
+    )
+    named = F.when(stamp != "", readable.try_cast("timestamp"))
     return rejects.select(
         "entity",
         "reason",
