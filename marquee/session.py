@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -55,3 +56,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="marquee-checkpoint-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Pages are parsed in workers by a helper of the package, wherever the session was started.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="marquee-package-"), "marquee")
+    context.addPyFile(shutil.make_archive(archive, "zip", os.path.dirname(here), "marquee"))
+    _SHIPPED.add(context.applicationId)

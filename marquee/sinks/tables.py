@@ -8,9 +8,9 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from marquee.operators import merge
-from marquee.operators.stats import filled_columns
+from marquee.operators.stats import column_fill
 from marquee.operators.validate import prune
-from marquee.schema import ENTITY_COLUMNS, ENTITY_TYPES, GOLD_FIXED, GOLD_REFRESHED
+from marquee.schema import ENTITY_COLUMNS, GOLD_FIXED, GOLD_REFRESHED, PROPERTIES
 from marquee.sources.pages import with_bronze_columns
 
 GOLD = T.StructType(
@@ -59,34 +59,34 @@ def write_silver(entities: DataFrame, path: str, run_id: str) -> None:
     )
 
 
-def csv_columns(entities: DataFrame, entity_type: str) -> DataFrame:
-    """The rows of one type with the columns that hold any value, sorted; nested ones as JSON."""
-    rows = prune(entities.filter(F.col("entity_type") == entity_type), entity_type).drop(
-        "entity_type"
-    )
+def csv_rows(entities: DataFrame, entity_type: str, filled: list[str]) -> DataFrame:
+    """The rows of one type with the named columns, nested ones as JSON."""
+    rows = prune(entities.filter(F.col("entity_type") == entity_type), entity_type)
     nested = (T.ArrayType, T.StructType, T.MapType)
     kinds = {field.name: field.dataType for field in rows.schema.fields}
     return rows.select(
-        *[
-            F.to_json(name).alias(name) if isinstance(kinds[name], nested) else F.col(name)
-            for name in filled_columns(rows)
-        ]
+        *[F.to_json(n).alias(n) if isinstance(kinds[n], nested) else F.col(n) for n in filled]
     )
 
 
 def write_csv(entities: DataFrame, path: str, run_id: str) -> list[str]:
     """One CSV per run day and type; a later run of the day replaces the file of its types.
 
-    Types without rows write nothing. Returns the folders written.
+    The header holds the columns that any row of the type fills, sorted. Types without rows write
+    nothing. Returns the folders written.
     """
     day = run_date_text(entities.sparkSession, run_id)
+    columns = [name for name in ENTITY_COLUMNS if name in entities.columns]
+    header: dict[str, list[str]] = {}
+    for row in column_fill(entities.select("entity_type", *columns)).collect():
+        header.setdefault(row["entity_type"], []).append(row["column"])
     written = []
-    for entity_type in ENTITY_TYPES:
-        rows = csv_columns(entities, entity_type)
-        if rows.columns:
-            folder = f"{path.rstrip('/')}/{day}/{entity_type}"
-            rows.write.mode("overwrite").option("header", True).option("escape", '"').csv(folder)
-            written.append(folder)
+    for entity_type, filled in sorted(header.items()):
+        folder = f"{path.rstrip('/')}/{day}/{entity_type}"
+        allowed = [name for name in sorted(filled) if name in dict(PROPERTIES[entity_type])]
+        rows = csv_rows(entities, entity_type, allowed)
+        rows.write.mode("overwrite").option("header", True).option("escape", '"').csv(folder)
+        written.append(folder)
     return written
 
 

@@ -201,9 +201,9 @@ def test_counts(spark):
     assert made["retries"] == 3 and made["robots_disallow"] == 1 and len(made) == 15
 
 
-def test_filled_columns(spark):
-    frame = spark.sql("SELECT 1 b, CAST(NULL AS INT) c, 'x' a")
-    assert stats.filled_columns(frame) == ["a", "b"]
+def test_column_fill(spark):
+    frame = spark.sql("SELECT 'e' entity_type, 1 b, CAST(NULL AS INT) c, 'x' a")
+    assert {tuple(r) for r in stats.column_fill(frame).collect()} == {("e", "a", 1), ("e", "b", 1)}
 
 
 def test_between_is_inclusive(spark):
