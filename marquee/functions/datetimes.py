@@ -148,15 +148,22 @@ def offset_text(seconds: Column) -> Column:
 
 def iso_text(parsed: Column) -> Column:
     """ISO-8601 text of a parsed value, microseconds only when there are any."""
-    text = parsed["local"].cast("string")
-    fraction = present(F.substring(text, 21, 6))
-    return F.concat(
-        F.substring(text, 1, 10),
-        F.lit("T"),
-        F.substring(text, 12, 8),
-        F.coalesce(F.concat(F.lit("."), F.rpad(fraction, 6, "0")), F.lit("")),
-        offset_text(parsed["offset"]),
+
+    def written(value: Column) -> Column:
+        text = value["text"]
+        fraction = F.substring(text, 21, 6)
+        return F.concat(
+            F.substring(text, 1, 10),
+            F.lit("T"),
+            F.substring(text, 12, 8),
+            F.when(fraction != "", F.concat(F.lit("."), F.rpad(fraction, 6, "0"))).otherwise(""),
+            offset_text(value["offset"]),
+        )
+
+    parts = F.struct(
+        parsed["local"].cast("string").alias("text"), parsed["offset"].alias("offset")
     )
+    return bind(parts, written)
 
 
 def shift(local: Column, seconds: Column) -> Column:

@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marquee.functions.binding import computed
 from marquee.functions.keys import key_parts
 
 KEY_COLUMNS = ["dedup_key", "identity", "day", "dated"]
@@ -26,7 +27,7 @@ KEY_COLUMNS = ["dedup_key", "identity", "day", "dated"]
 def with_keys(entities: DataFrame) -> DataFrame:
     """Add dedup_key, identity, day and dated."""
     return (
-        entities.withColumn("_key", key_parts())
+        computed(entities, {"_key": key_parts()})
         .withColumns({name: F.col("_key")[name] for name in KEY_COLUMNS})
         .drop("_key")
     )

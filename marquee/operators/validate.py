@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marquee.functions.binding import computed
 from marquee.schema import COUNTRY_PATTERN, ENTITY_COLUMNS, PROPERTIES, REQUIRED
 
 _JSON_TYPES = {"strings": "array", "slots": "array", "number": "number"}
@@ -74,7 +75,7 @@ def validate(entities: DataFrame) -> DataFrame:
     )
     if "date_errors" in entities.columns:
         reasons = F.concat(F.coalesce("date_errors", F.array().cast("array<string>")), reasons)
-    return entities.withColumn("reasons", reasons)
+    return computed(entities, {"reasons": reasons})
 
 
 def accepted(validated: DataFrame) -> DataFrame:

@@ -824,7 +824,7 @@ def full_run_silver(spark: SparkSession, folder: str) -> DataFrame:
                          "venue_name", "price_text", "price_value", "url")
         ]
     )
-    return spark.read.schema(silver).json(f"{root}/silver")
+    return spark.read.schema(silver).json(f"{root}/silver").drop("run_id")
 
 
 # --- Sinks read back ---------------------------------------------------------------------------

@@ -95,7 +95,7 @@ L AS (
     CASE WHEN kind = 3 THEN c_mktsegment END AS sport_type,
     CASE WHEN kind <> 5 THEN day || 'T18:00:00-05:00' END AS start,
     CASE WHEN kind <> 5 THEN day || 'T20:00:00-05:00' END AS finish,
-    CASE WHEN kind <> 5 THEN CAST(day AS DATE) END AS at,
+    CASE WHEN kind <> 5 THEN CAST(day AS DATE) END AS held_on,
     c_name AS venue_name, c_mktsegment || ' St' AS address, n_name AS city, country,
     CASE WHEN kind <> 5 THEN price END AS price_text,
     'https://shows.example.com/' AS url, true AS has_slots
@@ -117,7 +117,7 @@ A AS (
       || source_id AS dedup_key,
     lower(title) || '|' || (pruned_start IS NULL) || '|' || lower(venue_name) || '|' || lower(city)
       || '|' || source_id AS ident,
-    CASE WHEN pruned_start IS NULL THEN 0 ELSE date_diff('day', DATE '1970-01-01', at) END AS day
+    CASE WHEN pruned_start IS NULL THEN 0 ELSE date_diff('day', DATE '1970-01-01', held_on) END AS day
   FROM P WHERE NOT bad)"""
 )
 
@@ -398,7 +398,7 @@ SELECT p_partkey,
   p_partkey % 6 IN (2, 5) AS multi, p_partkey % 6 IN (4, 5) AS text_fallback
 FROM part""",
     "snapshots": """
-WITH T AS (SELECT page_id, url, TIMESTAMP '2024-01-01 00:00:00' + to_hours(page_id * 7) AS t FROM pages)
+WITH T AS (SELECT page_id, url, TIMESTAMP '2024-01-01 00:00:00' + to_minutes(page_id * 7) AS t FROM pages)
 SELECT page_id, sha256(url) AS url_hash, strftime(t, '%Y%m%dT%H%M%S') AS snapshot,
   strftime(t, '%Y-%m-%d') AS fetch_date
 FROM T""",
@@ -531,7 +531,7 @@ SELECT source_id, title, start, country, array_to_string(reasons, '; ') AS reaso
 FROM V WHERE len(reasons) > 0""",
     "bronze_sink": """
 SELECT sha256(url) AS url_hash,
-  strftime(TIMESTAMP '2024-01-01 00:00:00' + to_hours(page_id * 7), '%Y%m%dT%H%M%S') AS snapshot,
+  strftime(TIMESTAMP '2024-01-01 00:00:00' + to_minutes(page_id * 7), '%Y%m%dT%H%M%S') AS snapshot,
   sha256(html) AS html_hash, CAST(page_id AS VARCHAR) AS page_id
 FROM pages""",
     "stream_near_dedup": f"{_KEPT_EVENTS} SELECT event_id, dedup_key FROM KEPT",

@@ -69,5 +69,5 @@ def near_stream(
         statefulProcessor=_KeptDays(ttl_ms),
         outputStructType=unique.schema,
         outputMode="Append",
-        timeMode="ProcessingTime",
+        timeMode="None" if ttl_ms is None else "ProcessingTime",
     )
