@@ -28,9 +28,9 @@ from marquee.operators import (
     validate,
 )
 from marquee.plans import reports
-from marquee.plans.run import run
+from marquee.plans.run import judge, run
 from marquee.schema import GOLD_FIXED, GOLD_REFRESHED, RULES
-from marquee.session import checkpoint_dir, configured
+from marquee.session import checkpoint_dir, configured, spread
 from marquee.sinks import tables
 from marquee.sources import pages as page_source
 from marquee.sources import registry, runs
@@ -112,8 +112,8 @@ def customer_listings(spark: SparkSession, folder: str) -> DataFrame:
 
 def order_pages(spark: SparkSession, folder: str) -> DataFrame:
     """One listing page per order: JSON-LD of six shapes, and the same listing as a list item."""
-    orders, customer = table(spark, folder, "orders"), table(spark, folder, "customer")
-    nation = table(spark, folder, "nation")
+    orders = spread(table(spark, folder, "orders"), "o_orderkey")
+    customer, nation = table(spark, folder, "customer"), table(spark, folder, "nation")
     rows = (
         orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -205,7 +205,7 @@ def order_rule(spark: SparkSession) -> DataFrame:
 
 def site_pages(spark: SparkSession, folder: str) -> DataFrame:
     """The raw pages with the columns extraction needs."""
-    return table(spark, folder, "pages").select(
+    return spread(table(spark, folder, "pages"), "page_id").select(
         "page_id",
         "url",
         "html",
@@ -300,7 +300,7 @@ def duplicate_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def contacts_emails(spark: SparkSession, folder: str) -> DataFrame:
-    found = table(spark, folder, "documents").select(
+    found = spread(table(spark, folder, "documents"), "doc_id").select(
         "doc_id", text.emails(F.col("text")).alias("emails")
     )
     return found.select(
@@ -309,7 +309,7 @@ def contacts_emails(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def contacts_phones(spark: SparkSession, folder: str) -> DataFrame:
-    found = table(spark, folder, "documents").select(
+    found = spread(table(spark, folder, "documents"), "doc_id").select(
         "doc_id", text.phones(F.col("text")).alias("phones")
     )
     return found.select(
@@ -341,7 +341,7 @@ def taxonomy_map(spark: SparkSession, folder: str) -> DataFrame:
 
 def datetime_norm(spark: SparkSession, folder: str) -> DataFrame:
     """Order dates in five spellings, in five kinds of zone."""
-    orders = table(spark, folder, "orders").selectExpr(
+    orders = spread(table(spark, folder, "orders"), "o_orderkey").selectExpr(
         "o_orderkey AS row_no",
         """CASE o_orderkey % 5
             WHEN 0 THEN date_format(o_orderdate, 'yyyy-MM-dd')
@@ -778,10 +778,13 @@ def run_partition(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def listing_pipeline(spark: SparkSession, folder: str) -> DataFrame:
-    """Pages to clean rows, without writing: extract, normalise, validate, dedup, count."""
-    found = extract.extract(order_pages(spark, folder), order_rule(spark))
-    judged = validate.validate(normalise.normalise(found))
-    # judged rows feed two branches; in a run they are written once (plans.run)
+    """Pages to clean rows: extract, normalise, validate, dedup, count per source.
+
+    Judged rows feed two branches, so they are written once, as in a run.
+    """
+    path = scratch(spark, "judged")
+    judge(order_pages(spark, folder), order_rule(spark)).write.parquet(path)
+    judged = spark.read.parquet(path)
     kept = dedup.near_dedup(validate.accepted(judged))
     outcomes = kept.select("source_id", F.lit("new").alias("outcome")).unionByName(
         judged.filter(F.size("reasons") > 0).select("source_id", F.lit("rejected").alias("outcome"))

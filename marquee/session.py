@@ -6,7 +6,7 @@ import os
 import shutil
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the jobs depend on for results (time zone, duplicate JSON keys) or for scale.
 RUNTIME_SETTINGS = {
@@ -58,6 +58,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Hash a small table over all cores when its files give far fewer tasks than there are cores.
+
+    For costly per-row work on a single small file. A table of many files is left as it is, so
+    nothing large is shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() * 4 <= cores else scan
+
+
 _SHIPPED: set[str] = set()
 
 
