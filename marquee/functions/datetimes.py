@@ -30,6 +30,9 @@ _GROUPS = 15
 _MARK = "\u0001"
 # Text as `iso_text` writes it, for which the day and the offset can simply be cut out.
 _NORMAL = r"\A\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(?:\.\d{6})?[+-]\d\d:\d\d\z"
+_PLAIN = (
+    r"\A(?!0000)\d{4}-\d\d-\d\dT[0-2]\d:[0-5]\d:[0-5]\d[+-](?:[01]\d|2[0-3]):[0-5]\d\z"
+)
 _UTC_OFFSET = r"(?s)\AUTC(.)(\d\d)(?:.?.?|.(\d\d).*)\z"
 
 # Names the JVM does not carry, with a zone of the same rules.
@@ -59,6 +62,22 @@ def is_zone_name(name: Column) -> Column:
 
 def parse_iso(text: Column) -> Column:
     """Parse ISO-8601 text; null when it is none."""
+    return F.coalesce(_parse_plain(text), _parse_any(text))
+
+
+def _parse_plain(text: Column) -> Column:
+    """The most common form, yyyy-mm-ddThh:mm:ss±hh:mm, without taking it apart."""
+    local = F.left(text, F.lit(19)).try_cast("timestamp_ntz")
+    hours, minutes = (F.substring(text, at, 2).try_cast("int") for at in (21, 24))
+    sign = F.when(F.substring(text, 20, 1) == "-", -1).otherwise(1)
+    offset = (sign * (hours * 3600 + minutes * 60)).cast("int")
+    return F.when(
+        F.regexp_like(text, F.lit(_PLAIN)) & local.isNotNull(),
+        F.struct(local.alias("local"), offset.alias("offset")),
+    )
+
+
+def _parse_any(text: Column) -> Column:
     marked = F.regexp_replace(
         text, _ISO, _MARK + _MARK.join(f"${group}" for group in range(1, _GROUPS + 1))
     )

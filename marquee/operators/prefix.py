@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marquee.operators.joins import join_small
+
 
 def first_prefix_match(
     urls: DataFrame, sources: DataFrame, prefix: str = "base_url", order: str = "row_no"
@@ -25,9 +27,8 @@ def first_prefix_match(
         "url",
         F.explode_outer(F.filter("_lengths", lambda n: n <= F.length("url"))).alias("_n"),
     ).select("url", F.left("url", F.col("_n")).alias(prefix))
-    matched = cut.join(firsts, prefix, "left").groupBy("url").agg(
-        F.min_by("_source", "_order").alias("_source")
-    )
+    found = join_small(cut, firsts, prefix, "left", spread_by="url", measure=sources)
+    matched = found.groupBy("url").agg(F.min_by("_source", "_order").alias("_source"))
     return matched.select(
         "url", F.col("_source").isNotNull().alias("matched"),
         *[F.col("_source")[name].alias(name) for name in columns],

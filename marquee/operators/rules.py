@@ -6,7 +6,9 @@ expressions are split and the values are shaped by Spark columns.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -19,6 +21,7 @@ from marquee.functions.text import present
 from marquee.functions.urls import absolute_url
 from marquee.functions.variants import NO_STRINGS
 from marquee.operators.html import Page
+from marquee.operators.joins import join_small
 
 MONTH_LINKS = "a[rel='next'], a.month-next"
 
@@ -35,8 +38,27 @@ _ITEMS_DDL = "array<struct<one:map<string,string>,many:map<string,array<string>>
 
 
 def with_rules(pages: DataFrame, rules: DataFrame) -> DataFrame:
-    """Pages with the rule of their source; Spark broadcasts the rules while they are small."""
-    return pages.join(rules.withColumnRenamed("timezone", "rule_timezone"), "rule_path")
+    """Pages with the rule of their source.
+
+    The expressions of a rule are split before the join, so once per rule and not per page. A rule
+    may serve a great part of all pages, so pages are not gathered by rule.
+    """
+    prepared = rules.select(
+        "rule_path",
+        "list_item",
+        "month_grid",
+        "max_pages",
+        F.to_json(field_specs(F.col("fields"))).alias("specs"),
+        link_spec(F.col("next_selector")).alias("next"),
+        F.col("timezone").alias("rule_timezone"),
+    )
+    return join_small(pages, prepared, "rule_path", spread_by="url", measure=rules)
+
+
+@lru_cache(maxsize=1024)
+def _specs(text: str) -> list[dict]:
+    """The field rules of a rule, from the text they travel as."""
+    return [{"attr": None, **spec} for spec in json.loads(text)]
 
 
 def _read_item(page: Page, at: int, specs) -> dict:
@@ -51,7 +73,7 @@ def _read_item(page: Page, at: int, specs) -> dict:
     return {"one": one, "many": many}
 
 
-def _read_page(html: str | None, list_item: str, specs) -> list[dict] | None:
+def _read_page(html: str | None, list_item: str, specs: str) -> list[dict] | None:
     """The list items of a page; None when the page cannot be read, which is then counted."""
     if html is None:
         return []
@@ -59,7 +81,7 @@ def _read_page(html: str | None, list_item: str, specs) -> list[dict] | None:
         page = Page(html)
     except (AssertionError, ValueError):
         return None
-    return [_read_item(page, at, specs) for at in page.select(list_item)]
+    return [_read_item(page, at, _specs(specs)) for at in page.select(list_item)]
 
 
 def with_items(ruled: DataFrame, keep: list[str]) -> DataFrame:
@@ -67,7 +89,7 @@ def with_items(ruled: DataFrame, keep: list[str]) -> DataFrame:
 
     The kept columns pass through the worker as Arrow data and are not touched there.
     """
-    frame = ruled.select(*keep, "html", "list_item", field_specs(F.col("fields")).alias("_specs"))
+    frame = ruled.select(*keep, "html", "list_item", "specs")
     schema = T.StructType(
         [frame.schema[name] for name in keep]
         + [T.StructField("items", T.DataType.fromDDL(_ITEMS_DDL))]
@@ -75,7 +97,7 @@ def with_items(ruled: DataFrame, keep: list[str]) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            inputs = (batch.column(name).to_pylist() for name in ("html", "list_item", "_specs"))
+            inputs = (batch.column(name).to_pylist() for name in ("html", "list_item", "specs"))
             found = pa.array([_read_page(*row) for row in zip(*inputs)], type=_ITEMS)
             columns = [batch.column(name) for name in keep]
             yield pa.RecordBatch.from_arrays([*columns, found], names=[*keep, "items"])
@@ -166,11 +188,10 @@ def next_links(ruled: DataFrame, keep: list[str]) -> DataFrame:
     """``keep`` and ``links``: the further pages a first page names, absolute, in visiting order.
 
     At most one link by the next rule, then the month links, no more than max_pages - 1 in all.
-    Needs url, html, next_selector, month_grid and max_pages.
+    Needs url, html and the rule columns of `with_rules`.
     """
     frame = ruled.filter(F.col("max_pages") > 1).select(
-        *dict.fromkeys([*keep, "url"]), "html", "month_grid", "max_pages",
-        link_spec(F.col("next_selector")).alias("_next"),
+        *dict.fromkeys([*keep, "url"]), "html", "month_grid", "max_pages", "next",
     )
     carried = list(dict.fromkeys([*keep, "url", "max_pages"]))
     schema = T.StructType(
@@ -192,7 +213,7 @@ def next_links(ruled: DataFrame, keep: list[str]) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            inputs = (batch.column(name).to_pylist() for name in ("html", "_next", "month_grid"))
+            inputs = (batch.column(name).to_pylist() for name in ("html", "next", "month_grid"))
             found = pa.array([hrefs(*row) for row in zip(*inputs)], type=pa.list_(pa.string()))
             columns = [batch.column(name) for name in carried]
             yield pa.RecordBatch.from_arrays([*columns, found], names=[*carried, "_hrefs"])

@@ -795,7 +795,8 @@ def listing_pipeline(spark: SparkSession, folder: str) -> DataFrame:
 def order_run(spark: SparkSession, folder: str):
     """A whole written run over one page per order, each order being a source of its own."""
     root = scratch(spark, "run")
-    pages = order_pages(spark, folder)
+    order_pages(spark, folder).write.parquet(f"{root}/pages")
+    pages = spark.read.parquet(f"{root}/pages")
     sources = pages.select(
         "row_no", "source_id", F.col("url").alias("base_url"), F.col("entity_type").alias("type"),
         F.lit("US").alias("country"), F.lit("shows").alias("css_rules_path"),
