@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.functions.text import present, strip
+from marquee.operators.joins import join_small
 from marquee.schema import REGISTRY
 
 # What the registry accepts.
@@ -102,7 +103,9 @@ def with_rule_check(registry: DataFrame, rule_paths: DataFrame) -> DataFrame:
     known = rule_paths.select(
         F.col("rule_path").alias("css_rules_path"), F.lit(True).alias("rule_found")
     ).distinct()
-    joined = registry.join(known, "css_rules_path", "left")
+    joined = join_small(
+        registry, known, "css_rules_path", "left", spread_by="source_id", measure=rule_paths
+    )
     return joined.withColumn("rule_found", F.coalesce("rule_found", F.lit(False)))
 
 
