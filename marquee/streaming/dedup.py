@@ -6,9 +6,11 @@ then keeps, per identity, the set of kept days.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,6 +66,8 @@ def near_stream(
     ``ttl_ms`` bounds how long a kept day is remembered. Use `incremental.dedup_batch` where copies
     of a row in one micro-batch may come in great numbers: it reduces them before the shuffle.
     """
+    # the process that sets the state up on the driver cannot import this package: send the class
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     unique = exact_stream(entities, event_time, delay)
     return unique.groupBy("identity").transformWithStateInPandas(
         statefulProcessor=_KeptDays(ttl_ms),
