@@ -58,7 +58,7 @@ def joined(array: str | Column, mark: str = ",") -> Column:
 
 def event_listings(spark: SparkSession, folder: str) -> DataFrame:
     """Events as listings: 20 sources, one venue per user, the title in untidy case."""
-    events = table(spark, folder, "events")
+    events = spread(table(spark, folder, "events"), "event_id")
     return events.select(
         "event_id",
         "ts",
