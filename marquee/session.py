@@ -43,8 +43,8 @@ def local_session(cpus: int | str = "*", app: str = "marquee", **extra: str) ->
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for written intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only a local master may fall back to a
-    temporary folder: on a cluster that would be private to one machine.
+    A cluster names it in ``spark.checkpoint.dir``. Where it is unset, as in tests on a local
+    master, a folder inside the warehouse is used; elsewhere the setting is required.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
@@ -53,9 +53,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="marquee-checkpoint-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
 
 
 def spread(scan: DataFrame, key: str) -> DataFrame:
