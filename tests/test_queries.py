@@ -7,7 +7,10 @@ import pytest
 import __spark_entry__ as entry
 
 duckdb = pytest.importorskip("duckdb")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+from marquee.plans import catalog  # noqa: E402
+
+QUERIES = {name: query for name, query in entry.queries().items() if name in catalog.QUERIES}
+ORACLES = {name: sql for name, sql in entry.oracle_sql().items() if name in catalog.QUERIES}
 NAMES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
