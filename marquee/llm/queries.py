@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import packing
-from marquee.llm.common import table
+from marquee.llm import mixing, packing, sharding
+from marquee.llm.common import saved, table
+from marquee.session import checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,3 +35,54 @@ def vocabulary() -> tuple[bytes, str]:
 @query
 def op1_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"), *vocabulary())
+
+
+@query
+def op6_systematic_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    out = mixing.copies(table(spark, folder, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op6_systematic_mixing"] = """
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size,
+    CAST(((coalesce(doc_id, 0) % 256) + 256) % 256 AS INTEGER) AS salt
+  FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (
+  SELECT *, 3.0::DOUBLE * source_size AS cap, CAST(1 + (row_number() OVER (
+    ORDER BY source IS NULL, encode(source)) - 1) % 3 AS DOUBLE) AS weight FROM s),
+l AS (
+  SELECT *, cap / weight AS ratio,
+    (CAST(sum(source_size) OVER () AS DOUBLE) - coalesce(sum(cap) OVER earlier, 0))
+      / (sum(weight) OVER () - coalesce(sum(weight) OVER earlier, 0)) AS level
+  FROM w WINDOW earlier AS (ORDER BY cap / weight, source IS NULL, encode(source)
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+a AS (
+  SELECT source, source_size, CASE WHEN ratio > water THEN water * weight ELSE cap END AS target
+  FROM l, (SELECT max(level) AS water FROM l WHERE ratio = (
+    SELECT min(ratio) FROM l WHERE ratio > level))),
+e AS (
+  SELECT d.doc_id, d.size, a.source_size, a.target,
+    CASE WHEN a.source_size > 0 THEN a.target / CAST(a.source_size AS DOUBLE) ELSE 0.0 END AS expected,
+    CAST(row_number() OVER (PARTITION BY d.source
+      ORDER BY d.size, d.salt, d.doc_id NULLS FIRST) AS DOUBLE) AS rank,
+    CAST('0x' || substr(md5('mix-1|' || CASE WHEN d.source IS NULL THEN 'n' ELSE 's' || d.source END),
+      1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS start
+  FROM d JOIN a ON d.source IS NOT DISTINCT FROM a.source)
+SELECT doc_id, size, source_size, target,
+  CAST(floor(rank * expected + start) - floor((rank - 1) * expected + start) AS BIGINT) * size AS taken
+FROM e
+"""
+
+
+@query
+def op10_virtual_slots(spark: SparkSession, folder: str) -> DataFrame:
+    rows = sharding.records(table(spark, folder, "documents"))
+    load = saved(sharding.loads(rows), "slot-loads")  # one row per slot
+    path = f"{checkpoint_dir(spark)}/llm-slot-map-{uuid.uuid4().hex}"
+    sharding.write_map(sharding.first_map(spark), path, 1)
+    sharding.write_map(sharding.rebalanced(sharding.read_map(spark, path, 1), load), path, 2)
+    return sharding.sharded(rows, sharding.read_map(spark, path)).select(
+        "*", F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    )
