@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import mixing, packing, sharding
+from marquee.llm import itq, mixing, order_minhash, packing, sharding
 from marquee.llm.common import saved, table
 from marquee.session import checkpoint_dir
 
@@ -86,3 +86,13 @@ def op10_virtual_slots(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.sharded(rows, sharding.read_map(spark, path)).select(
         "*", F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+@query
+def op2_itq_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return itq.near_links(table(spark, folder, "embeddings"))
+
+
+@query
+def op4_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return order_minhash.near_duplicates(table(spark, folder, "documents"))
