@@ -8,7 +8,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import itq, mixing, order_minhash, packing, sharding
+from marquee.llm import (
+    itq,
+    mixing,
+    order_minhash,
+    packing,
+    sharding,
+    string_kernel,
+    weak_labels,
+)
 from marquee.llm.common import saved, table
 from marquee.session import checkpoint_dir
 
@@ -96,3 +104,15 @@ def op2_itq_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return order_minhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op8_weak_label_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return weak_labels.judged(table(spark, folder, "documents"))
+
+
+@query
+def op9_string_kernel_language(spark: SparkSession, folder: str) -> DataFrame:
+    learnable = string_kernel.not_held_out()
+    out = string_kernel.predicted(table(spark, folder, "documents"), learnable)
+    return out.select("doc_id", (~learnable).alias("held_out"), "lang_pred", "score")
