@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm import (
+    edit_embedding,
     itq,
     mixing,
     order_minhash,
@@ -116,3 +117,8 @@ def op9_string_kernel_language(spark: SparkSession, folder: str) -> DataFrame:
     learnable = string_kernel.not_held_out()
     out = string_kernel.predicted(table(spark, folder, "documents"), learnable)
     return out.select("doc_id", (~learnable).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op7_edit_embedding(spark: SparkSession, folder: str) -> DataFrame:
+    return edit_embedding.compared(table(spark, folder, "documents"))
