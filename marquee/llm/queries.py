@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from marquee.llm import (
     edit_embedding,
+    html_text,
     itq,
     mixing,
     order_minhash,
     packing,
+    secrets,
     sharding,
     string_kernel,
     weak_labels,
@@ -122,3 +124,14 @@ def op9_string_kernel_language(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_edit_embedding(spark: SparkSession, folder: str) -> DataFrame:
     return edit_embedding.compared(table(spark, folder, "documents"))
+
+
+@query
+def op5_forest_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    model = secrets.train(secrets.labelled_findings(spark))
+    return secrets.findings(table(spark, folder, "documents"), model)
+
+
+@query
+def op3_html_layout(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extracted(table(spark, folder, "pages"))

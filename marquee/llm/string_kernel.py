@@ -110,7 +110,7 @@ def predicted(documents: DataFrame, learnable, extra: tuple[str, ...] = ("doc_id
         matrix = np.zeros((block, 1 << BITS), np.float32)
         for batch in batches:
             names, scores = [], []
-            texts = batch["text"].tolist()
+            texts = batch["_read"].tolist()
             for start in range(0, len(texts), block):
                 part = texts[start : start + block]
                 ids = [presence(t, LENGTHS, BITS, scratch) if t else () for t in part]
@@ -131,14 +131,15 @@ def predicted(documents: DataFrame, learnable, extra: tuple[str, ...] = ("doc_id
                     best = int(values[row].argmax())
                     names.append(languages[best])
                     scores.append(float(min(1.0, each[best] / each.sum())) if each.sum() > 0 else 0.0)
-            out = batch.drop(columns="text")
+            out = batch.drop(columns="_read")
             out["lang_pred"], out["score"] = names, scores
             yield out
 
     # columns travel as they are; integers as text, as pandas would turn those with nulls into floats
     longs = [f.name for f in schema if f.dataType.typeName() in ("long", "integer")]
     sent = documents.select(
-        *[F.col(c).cast("string").alias(c) if c in longs else F.col(c) for c in extra], "text"
+        *[F.col(c).cast("string").alias(c) if c in longs else F.col(c) for c in extra],
+        F.col("text").alias("_read"),
     )
     fields = ", ".join(
         f"`{f.name}` {'string' if f.name in longs else f.dataType.simpleString()}" for f in schema

@@ -2,14 +2,16 @@
 
 Nine heuristic labellers look at a text and vote good, bad, or abstain; they overlap and err. A
 latent-class model takes each as independent given the true class, and expectation-maximisation
-estimates the prior and each labeller's chances of every vote in either class. All a run needs of
+estimates the prior and each labeller's accuracy in either class. All a run needs of
 the corpus is how often each combination of votes occurs, counted over all documents (3**9
 combinations at most, whatever the input). The posterior of a combination labels its documents, and
 a linear scorer on hashed character n-grams learns those soft labels from at most about ``SAMPLE``
 distinct texts, so that it judges content rather than the rules' borders. All texts are then scored
 whole.
 
-Cases: null text and text without a word get no votes but length's, score from an empty vector;
+Texts of under 20 words only get the votes that hold for any length.
+
+Cases: null text and text without a word get no votes, score from an empty vector;
 repeated rows are alike; with no rows there is no model and no result rows; extra columns are
 ignored.
 """
@@ -29,7 +31,7 @@ from marquee.llm.ngrams import counts
 SAMPLE = 2_000
 LENGTHS = (1, 2, 3)
 BITS = 13
-KEEP = 0.5
+KEEP = 0.3
 
 
 def _vote(value: Column, bad: Column, good: Column) -> Column:
@@ -48,35 +50,41 @@ def votes(text: Column) -> dict[str, Column]:
     def share(pattern: str) -> Column:
         return F.regexp_count(text, F.lit(pattern)) / chars
 
+    def enough(value: Column) -> Column:
+        """Shares over a few words say nothing: abstain."""
+        return F.when(words >= 20, value)
+
     symbols = share(r"[^\p{L}\p{N}\s.,;:!?'\"()\-]")
     digits = share(r"\p{N}")
     capitals = share(r"\p{Lu}")
     mean = share(r"\S") * chars / some
     short = F.regexp_count(text, F.lit(r"(?<!\S)\p{L}{1,3}(?!\S)")) / some
+    twice = F.regexp_count(text, F.lit(r"(?<!\S)(\S+)\s+(?=\1(?!\S))")) / some
     repeated = 1 - F.size(F.array_distinct(lines)) / line_count
     stops = F.regexp_count(text, F.lit(r"[\p{L}\p{N}\"')][.!?](?=\s|$)")) / some
     glued = F.regexp_count(text, F.lit(r"\p{L}[^\p{L}\p{N}\s.,;:!?'\"()\-]{2,}")) / some
     return {
-        "length": _vote(words, words < 20, words >= 60),
-        "symbols": _vote(symbols, symbols > 0.1, symbols < 0.02),
+        "repeated_words": _vote(enough(twice), twice > 0.1, twice < 0.02),
+        "symbols": _vote(symbols, symbols > 0.05, symbols < 0.02),
         "digits": _vote(digits, digits > 0.15, digits < 0.03),
-        "capitals": _vote(capitals, capitals > 0.2, capitals < 0.06),
-        "word_length": _vote(mean, (mean < 3) | (mean > 11), (mean >= 4) & (mean <= 8)),
-        "short_words": _vote(short, short < 0.1, short >= 0.2),
-        "repeated_lines": _vote(repeated, repeated > 0.2, repeated == 0),
-        "sentences": _vote(stops, stops < 0.01, (stops >= 0.03) & (stops <= 0.2)),
+        "capitals": _vote(enough(capitals), capitals > 0.2, capitals < 0.06),
+        "word_length": _vote(enough(mean), (mean < 3) | (mean > 11), (mean >= 4) & (mean <= 8)),
+        "short_words": _vote(enough(short), short < 0.1, short >= 0.2),
+        "repeated_lines": _vote(F.when(F.size(lines) >= 4, repeated), repeated > 0.2, repeated == 0),
+        "sentences": _vote(enough(stops), stops < 0.01, (stops >= 0.03) & (stops <= 0.2)),
         "glued": _vote(glued, glued > 0.1, glued < 0.01),
     }
 
 
 def estimate(patterns: np.ndarray, weight: np.ndarray, rounds: int = 200):
-    """(prior, chances[class, labeller, vote + 1], posterior of good per pattern) by EM.
+    """(prior, chances[class, labeller, bad or good vote], posterior of good per pattern) by EM.
 
+    An abstention is a missing vote and says nothing about the class.
     Starts from the balance of votes, which fixes which class is the good one.
     """
     balance = patterns.sum(axis=1) / np.maximum(np.abs(patterns).sum(axis=1), 1)
     good = np.clip(0.5 + 0.45 * balance, 0.02, 0.98)
-    one_hot = np.stack([patterns == v for v in (-1, 0, 1)], axis=2).astype(float)
+    one_hot = np.stack([patterns == v for v in (-1, 1)], axis=2).astype(float)
     for _ in range(rounds):
         mass = np.stack([(1 - good) * weight, good * weight])
         prior = (mass.sum(axis=1) + 1) / (mass.sum() + 2)
