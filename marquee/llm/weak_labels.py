@@ -38,40 +38,52 @@ def _vote(value: Column, bad: Column, good: Column) -> Column:
     return F.when(value.isNull(), 0).when(bad, -1).when(good, 1).otherwise(0).cast("int")
 
 
-def votes(text: Column) -> dict[str, Column]:
-    """The labellers: 1 good, -1 bad, 0 abstains."""
+def measures(text: Column) -> dict[str, Column]:
+    """Counts that the labellers judge, each read from the text once."""
     text = F.coalesce(text, F.lit(""))
-    chars = F.nullif(F.length(text), F.lit(0))
-    words = F.regexp_count(text, F.lit(r"\S+"))
-    some = F.nullif(words, F.lit(0))
     lines = F.filter(F.split(text, "\n"), lambda x: F.length(x) > 0)
-    line_count = F.nullif(F.size(lines), F.lit(0))
 
-    def share(pattern: str) -> Column:
-        return F.regexp_count(text, F.lit(pattern)) / chars
+    def count(pattern: str) -> Column:
+        return F.regexp_count(text, F.lit(pattern))
+
+    return {
+        "_chars": F.length(text),
+        "_visible": count(r"\S"),
+        "_words": count(r"\S+"),
+        "_symbols": count(r"[^\p{L}\p{N}\s.,;:!?'\"()\-]"),
+        "_digits": count(r"\p{N}"),
+        "_capitals": count(r"\p{Lu}"),
+        "_short": count(r"(?<!\S)\p{L}{1,3}(?!\S)"),
+        "_twice": count(r"(?<!\S)(\S{1,64})\s+(?=\1(?!\S))"),
+        "_stops": count(r"[\p{L}\p{N}\"')][.!?](?=\s|$)"),
+        "_glued": count(r"\p{L}[^\p{L}\p{N}\s.,;:!?'\"()\-]{2,}"),
+        "_lines": F.size(lines),
+        "_distinct": F.size(F.array_distinct(lines)),
+    }
+
+
+def votes() -> dict[str, Column]:
+    """The labellers over ``measures``: 1 good, -1 bad, 0 abstains."""
+    chars, words = F.nullif("_chars", F.lit(0)), F.nullif("_words", F.lit(0))
 
     def enough(value: Column) -> Column:
         """Shares over a few words say nothing: abstain."""
-        return F.when(words >= 20, value)
-
-    symbols = share(r"[^\p{L}\p{N}\s.,;:!?'\"()\-]")
-    digits = share(r"\p{N}")
-    capitals = share(r"\p{Lu}")
-    mean = share(r"\S") * chars / some
-    short = F.regexp_count(text, F.lit(r"(?<!\S)\p{L}{1,3}(?!\S)")) / some
-    twice = F.regexp_count(text, F.lit(r"(?<!\S)(\S+)\s+(?=\1(?!\S))")) / some
-    repeated = 1 - F.size(F.array_distinct(lines)) / line_count
-    stops = F.regexp_count(text, F.lit(r"[\p{L}\p{N}\"')][.!?](?=\s|$)")) / some
-    glued = F.regexp_count(text, F.lit(r"\p{L}[^\p{L}\p{N}\s.,;:!?'\"()\-]{2,}")) / some
+        return F.when(F.col("_words") >= 20, value)
+
+    symbols, digits = F.col("_symbols") / chars, F.col("_digits") / chars
+    capitals, mean = enough(F.col("_capitals") / chars), enough(F.col("_visible") / words)
+    short, twice = enough(F.col("_short") / words), enough(F.col("_twice") / words)
+    stops, glued = enough(F.col("_stops") / words), F.col("_glued") / words
+    repeated = F.when(F.col("_lines") >= 4, 1 - F.col("_distinct") / F.col("_lines"))
     return {
-        "repeated_words": _vote(enough(twice), twice > 0.1, twice < 0.02),
+        "repeated_words": _vote(twice, twice > 0.1, twice < 0.02),
         "symbols": _vote(symbols, symbols > 0.05, symbols < 0.02),
         "digits": _vote(digits, digits > 0.15, digits < 0.03),
-        "capitals": _vote(enough(capitals), capitals > 0.2, capitals < 0.06),
-        "word_length": _vote(enough(mean), (mean < 3) | (mean > 11), (mean >= 4) & (mean <= 8)),
-        "short_words": _vote(enough(short), short < 0.1, short >= 0.2),
-        "repeated_lines": _vote(F.when(F.size(lines) >= 4, repeated), repeated > 0.2, repeated == 0),
-        "sentences": _vote(enough(stops), stops < 0.01, (stops >= 0.03) & (stops <= 0.2)),
+        "capitals": _vote(capitals, capitals > 0.2, capitals < 0.06),
+        "word_length": _vote(mean, (mean < 3) | (mean > 11), (mean >= 4) & (mean <= 8)),
+        "short_words": _vote(short, short < 0.1, short >= 0.2),
+        "repeated_lines": _vote(repeated, repeated > 0.2, repeated == 0),
+        "sentences": _vote(stops, stops < 0.01, (stops >= 0.03) & (stops <= 0.2)),
         "glued": _vote(glued, glued > 0.1, glued < 0.01),
     }
 
@@ -122,13 +134,13 @@ def judged(documents: DataFrame) -> DataFrame:
     ``weak_label`` is the posterior of the votes, ``quality`` the linear scorer's probability.
     """
     spark = documents.sparkSession
-    named = votes(F.col("text"))
+    named = votes()
     names = list(named)
     key = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-    voted = saved(
-        spread(documents.select("doc_id", "text")).select("doc_id", key.alias("key"), *[v.alias(k) for k, v in named.items()]),
-        "votes",
+    measured = spread(documents.select("doc_id", "text")).select(
+        "doc_id", key.alias("key"), *[v.alias(k) for k, v in measures(F.col("text")).items()]
     )
+    voted = saved(measured.select("doc_id", "key", *[v.alias(k) for k, v in named.items()]), "votes")
     table = voted.groupBy(*names).count().collect()  # at most 3 ** labellers rows
     if not table:
         return voted.select(
@@ -157,11 +169,13 @@ def judged(documents: DataFrame) -> DataFrame:
         weights, bias = model.value
         for batch in batches:
             scores = [float(1 / (1 + np.exp(-(vector(t) @ weights + bias)))) for t in batch["text"]]
-            yield pd.DataFrame({"id": batch["id"], "weak_label": batch["weak_label"], "quality": scores})
+            yield pd.DataFrame({"key": batch["key"], "quality": scores})
 
-    scored = documents.select(F.col("doc_id").cast("string").alias("id"), "text", *[v.alias(k) for k, v in named.items()])
-    scored = spread(scored).join(F.broadcast(posterior), names).select("id", "text", "weak_label")
-    return scored.mapInPandas(run, "id string, weak_label double, quality double").select(
-        F.col("id").cast(documents.schema["doc_id"].dataType).alias("doc_id"),
-        "weak_label", "quality", (F.col("quality") >= KEEP).alias("kept"),
-    )
+    # quality depends on the text alone: thin rows meet by its hash
+    scored = spread(documents.select("text", key.alias("key"))).mapInPandas(
+        run, "key string, quality double"
+    )
+    quality = scored.groupBy("key").agg(F.max("quality").alias("quality"))
+    return labelled.join(quality, "key").select(
+        "doc_id", "weak_label", "quality", (F.col("quality") >= KEEP).alias("kept")
+    )
