@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from marquee.llm.common import saved, spread
 from marquee.llm.ngrams import counts
 
-SAMPLE = 2_000
+SAMPLE = 1_500
 LENGTHS = (1, 2, 3)
 BITS = 13
 KEEP = 0.3
@@ -116,15 +116,18 @@ def vector(text: str | None) -> np.ndarray:
     return (found / size if size else found).astype(np.float32)
 
 
-def learn(features: np.ndarray, target: np.ndarray, steps: int = 400) -> tuple[np.ndarray, float]:
+def learn(features: np.ndarray, target: np.ndarray, steps: int = 200) -> tuple[np.ndarray, float]:
     """Logistic regression on soft labels by accelerated full gradients."""
-    weights, velocity, bias = np.zeros(features.shape[1]), np.zeros(features.shape[1]), 0.0
+    features, target = features.astype(np.float32), target.astype(np.float32)
+    weights, bias = np.zeros(features.shape[1], np.float32), np.float32(0)
+    velocity = np.zeros_like(weights)
     for _ in range(steps):
-        ahead = weights + 0.9 * velocity
+        ahead = weights + np.float32(0.9) * velocity
         error = 1 / (1 + np.exp(-(features @ ahead + bias))) - target
-        velocity = 0.9 * velocity - 2.0 * (features.T @ error / len(target) + 1e-5 * ahead)
+        slope = features.T @ error / np.float32(len(target)) + np.float32(1e-5) * ahead
+        velocity = np.float32(0.9) * velocity - np.float32(2) * slope
         weights = weights + velocity
-        bias -= 0.5 * error.mean()
+        bias -= np.float32(0.5) * error.mean()
     return weights, bias
 
 
