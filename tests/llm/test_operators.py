@@ -1,0 +1,274 @@
+"""Operators of the pipeline against brute force, SQL, round trips and edge rows."""
+
+from __future__ import annotations
+
+import hashlib
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from marquee.llm import (
+    edit_embedding,
+    html_text,
+    itq,
+    mixing,
+    order_minhash,
+    packing,
+    queries,
+    secrets,
+    sharding,
+    string_kernel,
+    weak_labels,
+)
+
+LONG = "The of and to was " * 4000
+EDGE = [
+    (1, None, "en", None), (2, "", "fr", "a"), (3, "?? 12", None, "a"), (4, LONG, "en", "a"),
+    (5, "the same short text of eight words here", "en", "b"),
+    (6, "the same short text of eight words here", "en", None), (6, "the same short text of eight words here", "en", None),
+    (None, "a row without id, token = \"0123456789abcdef0123456789abcdef01234567\" indeed", "en", "b"),
+    (9, "<|endoftext|> 你好 🙂 é" * 3, "de", "c"),
+]
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size string, node string"
+
+
+@pytest.fixture(scope="module")
+def edge(spark):
+    rows = [(*r, len(r[1] or ""), "extra", "clash") for r in EDGE]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_packing_round_trip(spark, edge, none):
+    source, pattern = queries.vocabulary()
+    encode = packing.Encoder(source, pattern).encode
+    rows = packing.packed(edge, source, pattern).collect()
+    by_doc = {}
+    for r in rows:
+        by_doc.setdefault((r.doc_id, r.doc_tokens), []).append(r)
+    for doc, text, *_ in EDGE:
+        ids = [*(encode(text) if text else []), 1]
+        pieces = sorted(by_doc[(doc, len(ids))], key=lambda r: r.start)
+        for r in pieces:
+            part = np.array(ids[r.start : r.start + r.length], "<u4")
+            assert len(part) == r.length and zlib.crc32(part.tobytes()) == r.ids_crc32
+        assert sum(p.length for p in pieces) % len(ids) == 0
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert sorted(sequences) == list(range(len(sequences)))
+    for places in sequences.values():
+        places.sort()
+        assert [o for o, _ in places] == list(np.cumsum([0, *(n for _, n in places)])[:-1])
+        assert sum(n for _, n in places) <= packing.CAPACITY
+    assert packing.packed(none, source, pattern).count() == 0
+
+
+def test_rank_file_gives_the_tokenizer_files_ids():
+    import public_tokenizers
+
+    fast = packing.Encoder(*queries.vocabulary()).encode
+    slow = packing.Encoder(packing.tokenizer_file(public_tokenizers.path("byte_bpe_50k.json")), None).encode
+    for start in range(0, 0x30000, 97):
+        text = "".join(f" {chr(c)}x{chr(c)}1 " for c in range(start, start + 20) if not 0xD7C0 <= c < 0xE000)
+        assert fast(text) == slow(text)
+    assert all(fast(t or "") == slow(t or "") for _, t, *_ in EDGE)
+
+
+@pytest.mark.parametrize("rest", range(0, 2048, 7))
+def test_cut_covers_a_remainder(rest):
+    pieces = packing.cut(rest)
+    assert sum(n for n, _ in pieces) == rest and all(0 < n <= 2048 // k for n, k in pieces)
+
+
+def test_neighbours_against_brute_force(spark, tables):
+    base = [r.embedding for r in spark.read.parquet(f"{tables}/embeddings.parquet").limit(200).collect()]
+    random = np.random.default_rng(1)
+    near = [list(map(float, np.array(v) + 0.2 * np.std(v) * random.normal(size=len(v)))) for v in base[:100] for _ in range(2)]
+    odd = [None, [0.0] * 64, [float("nan")] * 64, base[0], [1.0, 2.0]]
+    rows = list(enumerate([*base, *near, *odd]))
+    frame = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<float>, node string")
+    got = {r.vec_id: r for r in itq.near_links(frame).collect()}
+    size = len(base) + len(near)
+    good = [i for i, v in rows if v is not None and len(v) == 64 and np.isfinite(v).all() and any(v)]
+    matrix = itq.unit(np.array([rows[i][1] for i in good], np.float32).astype(float))
+    links = (matrix @ matrix.T >= 0.9).sum(axis=1) - 1
+    found = np.array([got[i].n_links for i in good])
+    assert (found <= links).all() and found.sum() >= 0.9 * links.sum() > 0
+    assert got[size + 3].component_id == 0 and not got[size + 3].kept
+    for i in (size, size + 1, size + 2, size + 4):
+        assert (got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True)
+    assert itq.near_links(frame.limit(0)).count() == 0
+
+
+def test_html_layout(spark):
+    page = (
+        "<head><title>T</title><style>.x{display:none}</style><body><h1>A &amp; b</h1><p>One <b>two</b>"
+        "<p>three<br>four<ul><li>a<li>b<ol start=3><li>c</ol></ul><div class=x>no</div><p hidden>no</p>"
+        "<table><tr><th>Name<th>N<tr><td>longer<td>1</table><pre>x\n  y</pre><script>no</script>end"
+    )
+    want = (
+        "A & b\n\nOne two\n\nthree\nfour\n\n- a\n- b\n  3. c\n\nName   | N\nlonger | 1\n\nx\n  y\n\nend"
+    )
+    assert html_text.visible_text(page) == want
+    deep = "<div>" * 5000 + "<b>in</b>" + "</div>" * 10
+    assert html_text.visible_text(deep) == "in"
+    frame = spark.createDataFrame(
+        [(1, "u", page, 0), (2, None, None, 0), (3, "u", "", 0), (3, "u", "a<b", 0)],
+        "page_id long, url string, html string, n_lines int",
+    )
+    got = {(r.page_id, r.text) for r in html_text.extracted(frame).collect()}
+    assert got == {(1, want), (2, None), (3, ""), (3, "a<b")}
+    assert html_text.extracted(frame.limit(0)).count() == 0
+
+
+def test_banded_matches_are_a_common_subsequence():
+    random = np.random.default_rng(2)
+    for _ in range(60):
+        a, b = random.integers(0, 6, random.integers(1, 30)), random.integers(0, 6, random.integers(1, 30))
+        table = np.zeros((len(a) + 1, len(b) + 1), int)
+        for i in range(len(a)):
+            for j in range(len(b)):
+                table[i + 1, j + 1] = table[i, j] + 1 if a[i] == b[j] else max(table[i, j + 1], table[i + 1, j])
+        assert order_minhash.matched(a, b, 100) == table[-1, -1]
+
+
+def test_near_duplicates_are_grouped(spark, edge, none):
+    random = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(500)]
+    texts = []
+    for _ in range(20):
+        first = list(random.choice(words, 200))
+        copy, far = list(first), list(first)
+        copy[50] = "changed"
+        far[::12] = ["other"] * len(far[::12])
+        texts += [" ".join(first), " ".join(copy), " ".join(far)]
+    rows = [(i, t, None, None, 0, "", "") for i, t in enumerate(texts)]
+    got = {r.doc_id: r.class_id for r in order_minhash.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(got[i] == (i - 1 if i % 3 == 1 else i) for i in range(60))
+    kept = order_minhash.deduplicated(edge)
+    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 9]
+    assert kept.columns == edge.columns
+    assert order_minhash.deduplicated(none).count() == 0
+
+
+def test_secrets(spark, edge, none):
+    model = secrets.train(secrets.labelled_findings(spark))
+    unseen = secrets.labelled_findings(spark, 8000).tail(1000)
+    scored = secrets.scored(spark.createDataFrame(unseen), model).collect()
+    assert np.mean([(r.score >= 0.5) == (r.label == 1) for r in scored]) > 0.95
+    found = [r for r in secrets.findings(edge, model).collect() if r.is_secret]
+    text = next(t for _, t, *_ in EDGE if t and "token" in t)
+    assert [text[r.start : r.start + r.length] for r in found] == ["0123456789abcdef0123456789abcdef01234567"]
+    clean = {r.text for r in secrets.redacted(edge, model).collect()}
+    assert clean == {t if not t or "token" not in t else t.replace(text[text.index("0") : text.index("0") + 40], secrets.MARK) for _, t, *_ in EDGE}
+    assert secrets.findings(none, model).count() == 0
+
+
+def test_mixture_against_sql(spark, tables, edge, none):
+    database = duckdb.connect()
+    database.execute(f"CREATE VIEW documents AS SELECT * FROM '{tables}/documents.parquet'")
+    want = sorted(database.execute(queries.ORACLES["op6_systematic_mixing"]).fetchall())
+    got = queries.QUERIES["op6_systematic_mixing"](spark, tables).collect()
+    assert sorted(map(tuple, got)) == want
+    counted = mixing.copies(edge).collect()
+    assert len(counted) == len(EDGE) and all(0 <= r.copies <= 3 for r in counted)
+    assert mixing.mixed(edge).count() == sum(r.copies for r in counted)
+    assert mixing.copies(none).count() == 0
+
+
+def test_edit_fingerprints(spark, edge, none):
+    rows = edit_embedding.compared(edge).collect()
+    texts = sorted(((d, t or "") for d, t, *_ in EDGE if d is not None), key=lambda x: -x[0])
+    for place, (doc, text) in enumerate(texts):
+        if doc in (6, 1):  # repeated rows; last before the row without id
+            continue
+        new = edit_embedding.edited(text, texts[(place + 1) % len(texts)][1])
+        row = next(r for r in rows if r.doc_id == doc)
+        assert row.edited_sha256 == hashlib.sha256(new.encode()).hexdigest() and row.n_chars == len(text)
+    assert len(rows) == len(EDGE) and len({r.fingerprint for r in rows if r.doc_id in (5, 6)}) == 1
+    # one inserted character: walks fall into step again, mostly soon (the delay has a long tail)
+    random = np.random.default_rng(6)
+    alike, unlike = [], []
+    for _ in range(30):
+        text = "".join(random.choice(list("abcdefghij  "), 1500))
+        at = int(random.integers(0, 1500))
+        a, b, c = edit_embedding.fingerprints([text, text[:at] + "!" + text[at:], text[::-1]])
+        alike.append(edit_embedding.likeness(a, b))
+        unlike.append(edit_embedding.likeness(a, c))
+    assert np.median(alike) > 0.8 and max(unlike) < 0.2
+    marks = edit_embedding.fingerprints([text, text + "!", text[::-1], text])
+    assert marks[0] == marks[3]
+    frame = spark.createDataFrame([(m.hex(),) for m in marks], "fingerprint string")
+    assert edit_embedding.near_pairs(frame).count() == 1
+    assert edit_embedding.compared(none).count() == 0
+
+
+def test_weak_labels(spark, tables, edge, none):
+    random = np.random.default_rng(4)
+    truth = random.random(5000) < 0.7
+    right = np.array([0.95, 0.8, 0.7, 0.9])
+    cast = np.where(random.random((5000, 4)) < right, 1, -1) * np.where(truth, 1, -1)[:, None]
+    cast[random.random((5000, 4)) < 0.2] = 0
+    patterns, weight = np.unique(cast, axis=0, return_counts=True)
+    prior, chances, _ = weak_labels.estimate(patterns, weight.astype(float))
+    assert abs(prior[1] - 0.7) < 0.05 and np.abs(chances[1, :, 1] - right).max() < 0.05
+    documents = spark.read.parquet(f"{tables}/documents.parquet")
+    kept = {r.doc_id: r.kept for r in weak_labels.judged(documents).collect()}
+    labels = spark.read.parquet(f"{tables}/labels.parquet").where("quality = 1").collect()
+    assert np.mean([kept[r.doc_id] for r in labels]) > 0.97
+    assert weak_labels.judged(edge).count() == len(EDGE) and weak_labels.judged(none).count() == 0
+
+
+def test_language(spark, tables, edge, none):
+    rows = queries.QUERIES["op9_string_kernel_language"](spark, tables).collect()
+    lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{tables}/documents.parquet").collect()}
+    assert np.mean([lang[r.doc_id] == r.lang_pred for r in rows if r.held_out]) > 0.95
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+    learnable = string_kernel.not_held_out()
+    got = {r.doc_id: (r.lang_pred, r.score) for r in string_kernel.predicted(edge, learnable).collect()}
+    assert got[1] == got[2] == got[3] == ("und", 0.0) and got[4][0] == "en"
+    assert string_kernel.predicted(none, learnable).count() == 0
+
+
+def test_sharding(spark, tables, edge, none, tmp_path):
+    rows = sharding.records(spark.read.parquet(f"{tables}/documents.parquet"))
+    load = sharding.loads(rows)
+    sharding.write_map(sharding.first_map(spark, 5), str(tmp_path), 1)
+    sharding.write_map(sharding.rebalanced(sharding.read_map(spark, str(tmp_path), 1), load, 5), str(tmp_path), 2)
+    latest = sharding.read_map(spark, str(tmp_path))
+    out = sharding.sharded(rows, latest).toPandas()
+    size = out.groupby("shard")["size"].sum()
+    assert set(out["map_version"]) == {2} and size.max() - size.min() < 0.05 * size.mean()
+    assert all(sorted(s) == list(range(len(s))) for _, s in out.groupby("shard")["slot"])
+    before = {r.virtual_slot: r.shard for r in latest.collect()}
+    grown = {r.virtual_slot: r.shard for r in sharding.grow(latest, load, 5).collect()}
+    moved = {grown[s] for s in grown if grown[s] != before[s]}
+    assert moved == {5} and set(grown) == set(before)
+    with pytest.raises(Exception, match="(?i)exist"):
+        sharding.write_map(latest.drop("version"), str(tmp_path), 2)
+    records = sharding.records(edge).collect()
+    assert {(r.doc_id, r.size, r.text_crc32) for r in records} == {
+        (d, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for d, t, *_ in EDGE
+    }
+    assert sharding.sharded(sharding.records(none), latest).count() == 0
+
+
+def test_pipeline_stages(spark, tables):
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, tables)
+        assert docs.columns == columns, name
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+    assert not docs.where(docs.text.rlike('token = "[0-9a-f]{40}"')).count()
+    total = corpus_pipeline.pack(spark, docs, tables).agg({"length": "sum"}).first()[0]
+    encode = packing.Encoder(*queries.vocabulary()).encode
+    assert total == sum(len(encode(r.text)) + 1 for r in docs.collect())
