@@ -20,12 +20,28 @@ HIDDEN_TEXT = frozenset(["script", "style", "template", "rt", "rp"])
 _STEP = re.compile(
     r"\s*(>?)\s*((?:[\w*|-]+)?(?:[#.][\w-]+|\[[^\]]*\])*)", re.UNICODE
 )
-_SIMPLE = re.compile(r"([#.])([\w-]+)|\[\s*([\w:-]+)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\]]*?))?\s*\]")
+_SIMPLE = re.compile(
+    r"([#.])([\w-]+)|\[\s*([\w:-]+)\s*(?:([\^$*~]?=)\s*(\"[^\"]*\"|'[^']*'|[^\]\"'=]*?))?\s*\]"
+)
+
+
+def _holds(value: str, sign: str | None, wanted: str) -> bool:
+    if sign is None:
+        return True
+    if sign == "=":
+        return value == wanted
+    if not wanted:
+        return False
+    if sign == "~=":
+        return wanted in value.split()
+    return {"^=": value.startswith, "$=": value.endswith, "*=": value.__contains__}[sign](wanted)
 
 
 @lru_cache(maxsize=4096)
 def compile_selector(selector: str):
-    """A list of alternatives; each is a list of (combinator, tag, {attr: value or None}, classes)."""
+    """A list of alternatives; each is a list of (combinator, tag, [(attr, sign, value)], classes).
+
+    A compound that is not understood as a whole is refused."""
     alternatives = []
     for part in re.split(r",(?![^\[]*\])", selector):
         steps, at = [], 0
@@ -36,15 +52,20 @@ def compile_selector(selector: str):
                 raise ValueError(f"unsupported selector: {selector}")
             compound = match.group(2)
             tag = re.match(r"[\w*|-]*", compound).group()
-            classes, attrs = [], {}
-            for kind, name, attr, value in _SIMPLE.findall(compound):
+            classes, attrs, read = [], [], len(tag)
+            for simple in _SIMPLE.finditer(compound, read):
+                if simple.start() != read:
+                    break
+                read = simple.end()
+                kind, name, attr, sign, value = simple.groups()
                 if kind == ".":
                     classes.append(name)
                 elif kind == "#":
-                    attrs["id"] = name
+                    attrs.append(("id", "=", name))
                 else:
-                    written = f"={value}" if value else ""
-                    attrs[attr.lower()] = value.strip("\"'") if written else None
+                    attrs.append((attr.lower(), sign, (value or "").strip("\"'")))
+            if read != len(compound):
+                raise ValueError(f"unsupported selector: {selector}")
             steps.append((match.group(1) or " ", tag.lower(), attrs, classes))
             at = match.end()
         if not steps:
@@ -115,7 +136,7 @@ class Page(HTMLParser):
         if classes and not set(classes) <= set(own.get("class", "").split()):
             return False
         return all(
-            name in own and (value is None or own[name] == value) for name, value in attrs.items()
+            name in own and _holds(own[name], sign, value) for name, sign, value in attrs
         )
 
     def _fits(self, at, steps, last) -> bool:

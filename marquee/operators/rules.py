@@ -79,9 +79,9 @@ def _read_page(html: str | None, list_item: str, specs: str) -> list[dict] | Non
         return []
     try:
         page = Page(html)
-    except (AssertionError, ValueError):
+        return [_read_item(page, at, _specs(specs)) for at in page.select(list_item)]
+    except (AssertionError, ValueError):  # a bad page or selector costs this page alone
         return None
-    return [_read_item(page, at, _specs(specs)) for at in page.select(list_item)]
 
 
 def with_items(ruled: DataFrame, keep: list[str]) -> DataFrame:

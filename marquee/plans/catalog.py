@@ -922,7 +922,7 @@ def stream_stateful_dedup(spark: SparkSession, folder: str) -> DataFrame:
     root = scratch(spark, "stateful")
     listings.write.parquet(f"{root}/in")
     stream = spark.readStream.schema(listings.schema).parquet(f"{root}/in")
-    kept = stream_dedup.near_stream(stream, delay="60 days").select("dedup_key", "source_id")
+    kept = stream_dedup.near_stream(stream).select("dedup_key", "source_id")
     query = (
         kept.writeStream.format("parquet")
         .option("path", f"{root}/kept")

@@ -21,17 +21,21 @@ def read_manifests(spark: SparkSession, path: str) -> DataFrame:
     ``run_time`` is the time in the name, by which manifests are ordered; names break ties.
     """
     schema = T.StructType(MANIFEST.fields + [T.StructField("_broken", T.StringType())])
-    manifests = (
-        spark.read.schema(schema)
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_broken")
-        .json(f"{path.rstrip('/')}/run-*.json")
+    files = (
+        spark.read.format("binaryFile")
+        .load(f"{path.rstrip('/')}/run-*.json")
+        .select("path", F.decode("content", "UTF-8").alias("value"))
     )
-    named = manifests.select(
-        "*",
-        F.col("_metadata.file_path").alias("path"),
-        _last_part(r".*/(run-[^/]+\.json)(?:/[^/]*)?\z").alias("name"),
+    # a document starts with a brace at the start of a line: one per file, or one per line
+    each = files.select("path", F.explode(F.split("value", r"\n(?=\{)")).alias("document"))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
+    parsed = each.filter("trim(document) <> ''").select(
+        "path", F.from_json("document", schema, options).alias("m")
+    )
+    named = parsed.select(
+        "m.*",
+        "path",
+        F.regexp_extract("path", r".*/(run-[^/]+\.json)(?:/[^/]*)?\z", 1).alias("name"),
     )
     return with_run_time(named.filter(F.col("_broken").isNull()).drop("_broken"))
 

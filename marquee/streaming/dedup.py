@@ -19,13 +19,14 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from marquee.operators.dedup import with_keys
 
 
-def exact_stream(entities: DataFrame, event_time: str = "fetched_at", delay: str = "1 day") -> DataFrame:
-    """First row per deduplication key; the watermark bounds how long a key is remembered."""
-    return (
-        with_keys(entities)
-        .withWatermark(event_time, delay)
-        .dropDuplicatesWithinWatermark(["dedup_key", "dated"])
-    )
+def exact_stream(entities: DataFrame) -> DataFrame:
+    """First row per deduplication key, however late it comes: keys are remembered without end."""
+    return with_keys(entities).dropDuplicates(["dedup_key", "dated"])
+
+
+def _place(seq):
+    """Arrival order of a row: a number, a text, or a struct of those."""
+    return tuple(seq.values()) if isinstance(seq, dict) else tuple(seq) if isinstance(seq, (tuple, list)) else (seq,)
 
 
 class _KeptDays(StatefulProcessor):
@@ -41,11 +42,14 @@ class _KeptDays(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         # the exact step leaves two rows per day at most, so the group is small
-        batch = pd.concat(list(rows)).sort_values("seq", kind="stable")
+        batch = pd.concat(list(rows), ignore_index=True)
+        batch = batch.iloc[sorted(range(len(batch)), key=lambda at: _place(batch["seq"].iloc[at]))]
+        kept = {day[0] for day in self._kept.keys()}
         chosen = []
         for at, (day, dated) in enumerate(zip(batch["day"], batch["dated"])):
             near = (day, day - 1, day + 1) if dated else (day,)
-            if not any(self._kept.containsKey((int(d),)) for d in near):
+            if not any(int(d) in kept for d in near):
+                kept.add(int(day))
                 self._kept.updateValue((int(day),), (True,))
                 chosen.append(at)
         yield batch.iloc[chosen]
@@ -54,21 +58,17 @@ class _KeptDays(StatefulProcessor):
         pass
 
 
-def near_stream(
-    entities: DataFrame,
-    event_time: str = "fetched_at",
-    delay: str = "1 day",
-    ttl_ms: int | None = None,
-) -> DataFrame:
+def near_stream(entities: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     """Rows of an entity stream that duplicate no earlier row, with their key columns.
 
-    Arrival order is the order of micro-batches, and of ``seq`` (a number or text) within one.
-    ``ttl_ms`` bounds how long a kept day is remembered. Use `incremental.dedup_batch` where copies
-    of a row in one micro-batch may come in great numbers: it reduces them before the shuffle.
+    Arrival order is the order of micro-batches, and of ``seq`` (a number, a text, or a struct)
+    within one. No row is lost for being late. ``ttl_ms`` bounds how long a kept day is remembered,
+    after which a near duplicate is let in again. Use `incremental.dedup_batch` where copies of a
+    row in one micro-batch may come in great numbers: it reduces them before the shuffle.
     """
     # the process that sets the state up on the driver cannot import this package: send the class
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    unique = exact_stream(entities, event_time, delay)
+    unique = exact_stream(entities)
     return unique.groupBy("identity").transformWithStateInPandas(
         statefulProcessor=_KeptDays(ttl_ms),
         outputStructType=unique.schema,

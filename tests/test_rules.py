@@ -129,3 +129,21 @@ def test_frontier(spark, changes, expected):
     rows = rules.frontier(pages(spark), spec).orderBy("page_idx").collect()
     assert [r.url for r in rows] == expected
     assert [r.page_idx for r in rows] == list(range(1, len(expected) + 1))
+
+
+@pytest.mark.parametrize(
+    ("selector", "found"),
+    [
+        ("a[href^='/event']", 1), ("a[href$='.pdf']", 1), ("a[href*='ven']", 1), ("a[rel~=next]", 1),
+        ("a[href='/event/1']", 1), ("a[href]", 2), ("a[href^='']", 0),
+    ],
+)
+def test_attribute_operators(selector, found):
+    page = Page("<a href='/event/1' rel='next last'>x</a><a href='/doc.pdf'>y</a>")
+    assert len(page.select(selector)) == found
+
+
+@pytest.mark.parametrize("selector", ["a:nth-child(2)", "a:not(.b)", "a + b", "a ~ b", "a[href|='x']"])
+def test_selectors_beyond_the_helper_are_refused(selector):
+    with pytest.raises(ValueError):
+        Page("<a>x</a>").select(selector)

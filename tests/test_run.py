@@ -220,6 +220,7 @@ def test_manifest_files(spark, tmp_path):
     )
     (tmp_path / "run-20250101T000000.json").write_text("{broken")
     manifests = runs.read_manifests(spark, str(tmp_path))
+    assert manifests.count() == 2
     got = {r.name: r.run_time for r in manifests.collect()}
     assert got == {
         "run-20240101T000000.json": datetime(2024, 1, 1),
@@ -257,3 +258,15 @@ def test_url_state_table(spark, tmp_path):
     )
     tables.write_url_state(rows, path)
     assert [r.url for r in runs.read_url_state(spark, path).collect()] == ["a"]
+
+
+def test_manifest_of_many_sources(spark, tmp_path):
+    """No source is lost however many rows the manifest has."""
+    rows = spark.range(25_000).selectExpr("concat('s', id) AS source_id", "id % 3 AS share")
+    rows.groupBy("share").agg(F.collect_list("source_id").alias("ids")).selectExpr(
+        "'r' AS run_id",
+        "map_from_entries(transform(ids, i -> struct(i, "
+        "named_struct('rows_new', 1L, 'rows_updated', 0L, 'rejects', 0L)))) AS source_stats",
+    ).coalesce(1).write.json(f"{tmp_path}/run-20240101T000000.json")
+    manifests = runs.read_manifests(spark, str(tmp_path))
+    assert manifests.select(F.explode("source_stats")).count() == 25_000
