@@ -38,7 +38,9 @@ def contact_pool(*parts: Column) -> Column:
 
 def emails(pool: Column) -> Column:
     found = F.regexp_extract_all(pool, F.lit(EMAIL), F.lit(0))
-    return F.array_sort(F.array_distinct(F.transform(found, F.lower)))
+    every = F.array_sort(F.array_distinct(F.transform(found, F.lower)))
+    # the pattern is tried at every character: not where there is no sign of an address
+    return F.when(~F.contains(pool, F.lit("@")), F.array().cast("array<string>")).otherwise(every)
 
 
 def phones(pool: Column) -> Column:
