@@ -10,7 +10,7 @@ from marquee.plans.run import run
 from marquee.sinks import tables
 from marquee.sources import pages as page_source
 from marquee.sources import registry, rules, runs
-from tests.pages import PAGES, REGISTRY, RULES
+from tests.pages import MARKET, PAGES, REGISTRY, RULES
 
 
 @pytest.fixture(scope="module")
@@ -37,33 +37,33 @@ def finished(spark, inputs, tmp_path_factory):
 def test_registry_and_rules(spark, inputs):
     sources, rule_table, _ = inputs
     rows = {r.source_id: r for r in sources.collect()}
-    assert [r.source_id for r in sorted(rows.values(), key=lambda r: r.row_no)][:3] == [
-        "hall_shows", "league", "city",
+    assert [r.source_id for r in sorted(rows.values(), key=lambda r: r.row_no)] == [
+        "dome", "rowing", "market", "lights", "climb", "shut",
     ]
-    assert rows["club"].max_qps == 1.0 and rows["club"].concurrency == 1
-    assert rows["arts"].enabled and rows["city"].enabled and not rows["closed"].enabled
-    assert rows["arts"].sitemap_url and rows["city"].sitemap_url is None
+    assert rows["climb"].max_qps == 1.0 and rows["climb"].concurrency == 1
+    assert rows["lights"].enabled and rows["market"].enabled and not rows["shut"].enabled
+    assert rows["lights"].sitemap_url and rows["market"].sitemap_url is None
     spec = {r.rule_path: r for r in rule_table.collect()}
-    assert spec["club.yaml"].max_pages == 1 and spec["arts.yaml"].month_grid
-    assert spec["league.yaml"].next_selector is None
-    fields = rules.exploded(rule_table).filter("rule_path = 'city.yaml' AND field = 'start'")
+    assert spec["climb.yaml"].max_pages == 1 and spec["lights.yaml"].month_grid
+    assert spec["rowing.yaml"].next_selector is None
+    fields = rules.exploded(rule_table).filter("rule_path = 'market.yaml' AND field = 'start'")
     (start,) = fields.collect()
-    assert (start.selector, start.attr, start.multi) == ("time.from", "datetime", False)
+    assert (start.selector, start.attr, start.multi) == ("data.opens", "value", False)
 
 
 def test_run_counts(finished):
     _, result = finished
-    assert result.counts == {"events": 12, "festivals": 3, "sports": 4}
+    assert result.counts == {"events": 11, "festivals": 4, "sports": 5}
     expected = {
-        "pages_fetched": 7, "http_2xx": 7, "entities_new": 19, "duplicates": 2,
+        "pages_fetched": 7, "http_2xx": 7, "entities_new": 20, "duplicates": 2,
         "validates_failed": 1, "quarantine_rows": 1, "parse_failures": 0, "unchanged_skips": 0,
     }
     assert {name: result.counters[name] for name in expected} == expected
     per_source = {r.source_id: (r.rows_new, r.rows_updated, r.rejects)
                   for r in result.source_stats.collect()}
     assert per_source == {
-        "hall_shows": (2, 0, 0), "league": (1, 0, 1), "city": (10, 0, 0), "arts": (3, 0, 0),
-        "club": (3, 0, 0),
+        "dome": (4, 0, 0), "rowing": (2, 0, 1), "market": (7, 0, 0), "lights": (4, 0, 0),
+        "climb": (3, 0, 0),
     }
 
 
@@ -71,25 +71,31 @@ def test_silver_rows(spark, finished):
     root, _ = finished
     silver = spark.read.json(f"{root}/silver")
     rows = {r.title: r for r in silver.collect()}
-    jazz, fair, walk = rows["Jazz Evening"], rows["Art Fair"], rows["Art Walk"]
-    assert (jazz.price_value, jazz.phones, jazz.taxonomy, jazz.timezone) == (
-        45.0, ["45131"], ["music"], "UTC-04:00",
+    comet, dial = rows["Comet Jazz"], rows["Art of the Sundial"]
+    # the price and the house number together look like a phone number
+    assert (comet.price_value, comet.phones, comet.taxonomy, comet.timezone) == (
+        17.25, ["172588"], ["music"], "UTC+01:00",
     )
-    assert (fair.start, fair.end) == ("2024-08-12T10:00:00-04:00", "2024-08-12T18:00:00-04:00")
-    assert fair.timezone == "America/New_York" and len(fair.time_slots) == 2
-    assert fair.taxonomy == ["art"] and fair.images == ["https://hall.example.com/a.jpg"]
-    assert walk.start.startswith("2024-09-06") and walk.timezone == "UTC-04:00"
-    assert rows["Square Concert"].timezone == "America/Toronto"
-    swim = rows["Morning Swim"]
-    assert (swim.sport_type, swim.start, swim.taxonomy) == ("Swimming", None, ["swimming"])
-    assert rows["Soccer Hour"].taxonomy == ["football"]
-    assert "Far" not in rows and "Derby" not in rows
+    assert (dial.start, dial.end) == ("2027-07-09T11:00:00+02:00", "2027-07-09T15:30:00+02:00")
+    assert dial.timezone == "Europe/Berlin" and len(dial.time_slots) == 2
+    assert dial.taxonomy == ["art"] and dial.organizer == "Sternfreunde"
+    assert sorted(dial.images) == [
+        "https://dome.example.net/dial.png", "https://dome.example.net/noon.png",
+    ]
+    assert rows["Dark Skies"].start == "2027-11-12T18:00:00+01:00"
+    days = sorted(r.start[:10] for r in silver.collect() if r.title == "Kite Making")
+    assert days == ["2027-11-13", "2027-11-15"] and rows["Kite Making"].timezone == "UTC+09:00"
+    assert rows["Koto Recital"].timezone == "Asia/Tokyo"
+    lead = rows["Lead Class"]
+    assert (lead.sport_type, lead.start, lead.taxonomy) == ("Climbing", None, ["climbing"])
+    assert rows["Dawn Circuit"].taxonomy == ["running"]
+    assert "Never Visited" not in rows and "Novice Heat" not in rows
 
 
 def test_quarantine(spark, finished):
     root, _ = finished
     (reject,) = spark.read.json(f"{root}/quarantine").collect()
-    assert reject.entity.title == "Derby" and reject.entity.images
+    assert reject.entity.title == "Novice Heat" and reject.entity.images
     assert reject.reason == ["$.images: value is not of type 'array'"]
 
 
@@ -99,12 +105,12 @@ def test_csv_and_gold(spark, finished):
         f"{root}/exports/2024-09-01/festivals"
     )
     assert festivals.columns == sorted(festivals.columns)
-    assert "price_text" not in festivals.columns and festivals.count() == 3
-    assert festivals.filter("title = 'Mural Jam'").first().images == (
-        '["https://arts.example.com/2024-09-25.jpg"]'
+    assert "price_text" not in festivals.columns and festivals.count() == 4
+    assert festivals.filter("title = 'Mirror Maze'").first().images == (
+        '["https://lights.example.net/2027-06-29.webp"]'
     )
     gold = tables.GoldTable(spark, f"{root}/gold").read()
-    assert gold.count() == 19 and gold.select("dedup_key").distinct().count() == 19
+    assert gold.count() == 20 and gold.select("dedup_key").distinct().count() == 20
 
 
 def test_repeated_run_changes_nothing_and_a_second_run_updates(spark, inputs, finished, tmp_path):
@@ -113,28 +119,28 @@ def test_repeated_run_changes_nothing_and_a_second_run_updates(spark, inputs, fi
     run(spark, root, "run-20240901T120000", *inputs)
     assert sorted(tables.GoldTable(spark, f"{root}/gold").read().collect(), key=str) == before
     sources, rule_table, pages = inputs
-    changed = pages.withColumn("html", F.replace("html", F.lit("45"), F.lit("50")))
+    changed = pages.withColumn("html", F.replace("html", F.lit("17.25"), F.lit("19.75")))
     result = run(
-        spark, root, "run-20240902T120000", sources, rule_table, changed, source_id="hall_shows"
+        spark, root, "run-20240902T120000", sources, rule_table, changed, source_id="dome"
     )
-    assert result.counts == {"events": 2}
+    assert result.counts == {"events": 4}
     gold = tables.GoldTable(spark, f"{root}/gold").read()
-    assert gold.count() == 19
-    assert gold.filter("title = 'Jazz Evening'").first().price_text == "50"
+    assert gold.count() == 20
+    assert gold.filter("title = 'Comet Jazz'").first().price_text == "19.75"
     report = reports.status(sources, runs.read_manifests(spark, f"{root}/manifests"))
     got = {r.source_id: (r.rows_new, r.rejects, r.last_run) for r in report.collect()}
-    assert got["hall_shows"] == (2, 0, "run-20240902T120000")
-    assert got["league"] == (1, 1, "run-20240901T120000")
-    assert got["closed"] == (0, 0, None)
+    assert got["dome"] == (4, 0, "run-20240902T120000")
+    assert got["rowing"] == (2, 1, "run-20240901T120000")
+    assert got["shut"] == (0, 0, None)
 
 
 def test_filters_of_a_run(spark, inputs, tmp_path):
     sources, rule_table, pages = inputs
     robots_table = spark.createDataFrame(
-        [("arts.example.com", "User-agent: *\nDisallow: /oct")], "host string, text string"
+        [("lights.example.net", "User-agent: *\nDisallow: /june")], "host string, text string"
     )
     state = spark.createDataFrame(
-        [("https://city.example.com/list/", "e1", "", "5", 1)],
+        [(MARKET, "e1", "", "5", 1)],
         "url string, etag string, last_modified string, last_seen string, version int",
     )
     tagged = pages.withColumns({"etag": F.lit("e1"), "last_modified": F.lit("")})
@@ -142,17 +148,17 @@ def test_filters_of_a_run(spark, inputs, tmp_path):
         spark, str(tmp_path), "r-20240903T000000", sources, rule_table, tagged,
         robots_table=robots_table, url_state=state,
     )
-    assert result.counts == {"events": 2, "festivals": 2, "sports": 4}
+    assert result.counts == {"events": 4, "festivals": 1, "sports": 5}
     assert result.counters["robots_disallow"] == 1 and result.counters["unchanged_skips"] == 1
     one = run(spark, str(tmp_path), "r-20240904T000000", sources, rule_table, pages,
-              entity_type="festivals", limit=1, since="2024-09-24", until="2024-10-05T18:00-04:00")
+              entity_type="festivals", limit=1, since="2027-06-01", until="2027-06-18T20:00+01:00")
     assert one.counts == {"festivals": 2}
 
 
 def test_bad_registry_row_stops_the_run(spark, inputs, tmp_path):
     _, rule_table, pages = inputs
     bad = tmp_path / "bad.csv"
-    bad.write_text(REGISTRY + "odd,https://x,events,USA,true,,hall.yaml,daily,1,1,false\n")
+    bad.write_text(REGISTRY + "odd,https://x,events,USA,true,,dome.yaml,daily,1,1,false\n")
     with pytest.raises(Exception, match="Invalid source row odd: country"):
         run(spark, str(tmp_path), "r-20240901", registry.read(spark, str(bad)), rule_table, pages)
 
@@ -162,13 +168,13 @@ def test_validate_sources(spark, inputs, tmp_path):
     path = tmp_path / "sources.csv"
     path.write_text(
         REGISTRY
-        + "a,https://x,events,USA,true,,hall.yaml,hourly,0,1,true\n"
+        + "a,https://x,events,USA,true,,dome.yaml,hourly,0,1,true\n"
         + "b,https://x,events,US,true,,lost.yaml,daily,x,1.5,true\n"
         + ",https://x,events,US,true,,lost.yaml,daily,1,1,true\n"
     )
     checked = reports.validate_sources(registry.read(spark, str(path)), rule_table)
     got = {r.source_id: (r.status, r.detail) for r in checked.collect()}
-    assert got["city"] == ("OK", "") and got["closed"] == ("DISABLED", "disabled")
+    assert got["market"] == ("OK", "") and got["shut"] == ("DISABLED", "disabled")
     assert got["a"][0] == "FAIL" and "country" in got["a"][1] and "max_qps" in got["a"][1]
     assert "lost.yaml" in got["b"][1] and "concurrency: not a whole" in got["b"][1]
     assert len(got) == 8
@@ -176,18 +182,18 @@ def test_validate_sources(spark, inputs, tmp_path):
 
 def test_explain(spark, inputs):
     sources, _, _ = inputs
-    urls = spark.createDataFrame([("https://city.example.com/list/page9",), ("https://no",)],
+    urls = spark.createDataFrame([("https://market.example.net/stalls/page9",), ("https://no",)],
                                  "url string")
     got = {r.url: r for r in reports.explain(urls, sources).collect()}
-    city = got["https://city.example.com/list/page9"]
-    assert (city.matched, city.source_id, city.rules_path) == (True, "city", "city.yaml")
+    market = got["https://market.example.net/stalls/page9"]
+    assert (market.matched, market.source_id, market.rules_path) == (True, "market", "market.yaml")
     assert not got["https://no"].matched
 
 
 def test_select_sources(spark, inputs):
     sources, _, _ = inputs
     chosen = registry.select_sources(sources, entity_type="sports", limit=1).collect()
-    assert [r.source_id for r in chosen] == ["league"]
+    assert [r.source_id for r in chosen] == ["rowing"]
     assert registry.select_sources(sources, source_id="nobody").count() == 0
 
 
