@@ -48,7 +48,7 @@ def measures(text: Column) -> dict[str, Column]:
 
     return {
         "_chars": F.length(text),
-        "_visible": count(r"\S"),
+        "_visible": F.length(text) - count(r"\s"),
         "_words": count(r"\S+"),
         "_symbols": count(r"[^\p{L}\p{N}\s.,;:!?'\"()\-]"),
         "_digits": count(r"\p{N}"),
