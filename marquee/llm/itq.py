@@ -6,8 +6,9 @@
    fit). The signs after rotation are balanced binary codes.
 3. The code bits are cut into substrings, one hash table each. By the pigeonhole principle a pair
    that differs in fewer bits than there are tables shares a bucket in one of them. Bits per
-   substring follow the logarithm of the number of vectors, so a bucket holds about ``IN_BUCKET`` of
-   them; the number of tables follows from the recall asked at the threshold.
+   substring and the number of tables are those of least cost by which sample pairs just at the
+   threshold meet in the learned codes with the recall asked (``plan``); where comparing every pair
+   costs less than that, as in small tables, every pair is compared.
 4. The vectors travel to their buckets and are reranked there: one product of original vectors in
    double precision per block. A pair is counted in the first table where it meets, so nothing is
    counted twice and no pair is ever written: a block returns a row per vector with its number of
@@ -15,8 +16,8 @@
 5. Buckets above ``BLOCK`` vectors are cut into chunks, and each two chunks meet in a block of their
    own, so a bucket that holds a third of all vectors is many bounded tasks.
 
-Links are exact where found; recall is by construction that of the tables (tests measure it against
-brute force). Vectors that are null, empty, zero, or hold a null or non-finite component link with
+Links are exact where found; of pairs just at the threshold up to 1 - ``RECALL`` may be missed, fewer
+of closer ones (tests measure it against brute force, with and without a common direction). Vectors that are null, empty, zero, or hold a null or non-finite component link with
 nothing. Vectors of different lengths never link, each length has codes of its own. Repeated rows
 and equal vectors link with each other. Null ids are kept; a component made of them only is null. An
 empty table gives no rows. Extra columns are ignored.
@@ -36,11 +37,14 @@ from marquee.llm.common import map_groups, saved, spread
 from marquee.llm.components import components
 
 THRESHOLD = 0.9
-RECALL = 0.97  # of the tables, for a pair exactly at the threshold under random bits
+RECALL = 0.97  # of the tables, for pairs just at the threshold, measured on sample pairs
 SAMPLE = 20_000  # vectors per length that rotations are learned from, at most (in expectation)
 ROUNDS = 30
 IN_BUCKET = 16
 BLOCK = 1024
+PAIRS = 2000  # sample pairs of a set on which codes are measured
+MOST_TABLES = 4096
+PRODUCTS = 512  # comparisons in a bucket that cost about as much as sending a vector to one
 SEED = 20240607
 
 
@@ -81,11 +85,86 @@ def learn(sample: np.ndarray, bits: int, seed: int = SEED) -> tuple[np.ndarray,
     return mean, np.hstack(directions)[:, :bits]
 
 
-def shape(count: int, threshold: float = THRESHOLD, recall: float = RECALL) -> tuple[int, int]:
-    """(bits per substring, tables) for so many vectors."""
-    bits = min(30, max(6, round(math.log2(max(count, 1) / IN_BUCKET))))
-    same = (1 - math.acos(threshold) / math.pi) ** bits
-    return bits, math.ceil(math.log(1 - recall) / math.log(1 - same))
+def sample_pairs(sample: np.ndarray, threshold: float, seed: int = SEED) -> list[tuple]:
+    """Sets of pairs (a, b) just at the threshold, on which codes are measured.
+
+    Pairs of the sample just above it where there are enough of them, and made ones that always are:
+    sample vectors turned by the threshold's angle, in any direction and in directions in which
+    sample vectors differ.
+    """
+    random = np.random.default_rng(seed)
+    anchors = sample[random.permutation(len(sample))[:PAIRS]]
+    product = anchors @ sample.T
+    a, b = np.nonzero((product >= threshold) & (product < threshold + (1 - threshold) / 10))
+    some = random.permutation(len(a))[:PAIRS]
+    sets = [(anchors[a[some]], sample[b[some]])] if len(a) >= PAIRS // 10 else []
+    ways = sample[random.integers(len(sample), size=(2, len(anchors)))]
+    for way in (random.normal(size=anchors.shape), ways[0] - ways[1]):
+        way = way - (way * anchors).sum(axis=1, keepdims=True) * anchors
+        norm = np.linalg.norm(way, axis=1)
+        good = norm > 1e-9
+        turned = way[good] / norm[good, None] * math.sqrt(1 - threshold**2)
+        if good.any():
+            sets.append((anchors[good], threshold * anchors[good] + turned))
+    return sets
+
+
+def _tables(agree: list[np.ndarray], bits: int, recall: float) -> float:
+    """Tables by which every set of pairs, each with its share of agreeing bits, meets as asked."""
+    low, high = 0, MOST_TABLES + 1  # not enough, enough or too many
+    while high - low > 1:
+        at = (low + high) // 2
+        if min(float(np.mean(1 - (1 - share**bits) ** at)) for share in agree) >= recall:
+            high = at
+        else:
+            low = at
+    return high if high <= MOST_TABLES else math.inf
+
+
+def measured(sets: list[tuple], mean: np.ndarray, directions: np.ndarray, bits: int) -> float:
+    """The share of pairs that share a bucket, in the set where it is smallest."""
+    shares = []
+    for a, b in sets:
+        same = ((a - mean) @ directions > 0) == ((b - mean) @ directions > 0)
+        shares.append(same.reshape(len(a), -1, bits).all(axis=2).any(axis=1).mean())
+    return float(min(shares))
+
+
+def plan(
+    sample: np.ndarray, count: int, threshold: float = THRESHOLD, recall: float = RECALL
+) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """(mean, directions, bits per substring, tables) for so many vectors.
+
+    Centred codes of pairs at the threshold differ the more the further the vectors lie from the
+    origin as a whole, so the learned codes themselves are measured on ``sample_pairs``. Of all
+    numbers of bits the one of least cost is taken; no bit at all is one table that compares every
+    pair. Tables are added until the pairs meet as asked.
+    """
+    size = sample.shape[1]
+
+    def cost(bits: int, tables: float) -> float:
+        bucket = count / 2**bits
+        return tables * (max(1.0, bucket / BLOCK) + bucket / PRODUCTS)
+
+    every = (sample.mean(axis=0), np.zeros((size, 0)), 0, 1)
+    most = min(30, max(6, round(math.log2(max(count, 1) / IN_BUCKET))))
+    sets = sample_pairs(sample, threshold) if count > BLOCK else []
+    if not sets:
+        return every
+    mean, directions = learn(sample, max(256, 4 * size))
+    agree = [
+        (((a - mean) @ directions > 0) == ((b - mean) @ directions > 0)).mean(axis=1)
+        for a, b in sets
+    ]
+    bits, tables = min(
+        ((b, _tables(agree, b, recall)) for b in range(1, most + 1)), key=lambda x: cost(*x)
+    )
+    while cost(bits, tables) < cost(0, 1):
+        mean, directions = learn(sample, bits * tables)
+        if measured(sets, mean, directions, bits) >= recall:
+            return mean, directions, bits, tables
+        tables += math.ceil(tables / 8)
+    return every
 
 
 def nodes(embeddings: DataFrame) -> DataFrame:
@@ -114,7 +193,6 @@ def near_links(
     }  # one number per vector length
     sent = {}
     for length, count in lengths.items():
-        bits, tables = shape(count, threshold, recall)
         share = min(1.0, SAMPLE / count)
         # nodes are md5 digits, so their first ones are a random draw that every run repeats
         draw = F.conv(F.substring("node", 1, 8), 16, 10).cast("long") < share * 2**32
@@ -122,7 +200,7 @@ def near_links(
         if len(sample) < 2:
             sample = distinct.where(F.size("embedding") == length).select("embedding").limit(2).toPandas()
         vectors = unit(np.array(sample["embedding"].tolist(), float))
-        sent[length] = (*learn(vectors, bits * tables), bits, tables)
+        sent[length] = plan(vectors, count, threshold, recall)
     if not sent:
         return rows.select(
             "vec_id", F.lit(0).cast("long").alias("n_links"),

@@ -108,6 +108,25 @@ def test_neighbours_against_brute_force(spark, tables):
     assert itq.near_links(frame.limit(0)).count() == 0
 
 
+def test_neighbours_with_a_common_direction(spark):
+    random = np.random.default_rng(8)
+    common = random.normal(size=64)
+    base = itq.unit(random.normal(size=(4000, 64)) / 8 * np.sqrt(1 / 0.86**2 - 1) + common / np.linalg.norm(common))
+    way = random.normal(size=(2000, 64))
+    way -= (way * base[:2000]).sum(axis=1, keepdims=True) * base[:2000]
+    near = 0.91 * base[:2000] + np.sqrt(1 - 0.91**2) * itq.unit(way)
+    vectors = np.vstack([base, near])
+    assert np.linalg.norm(vectors.mean(axis=0)) > 0.8
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(vectors.tolist())], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in itq.near_links(frame).collect()}
+    links = (vectors @ vectors.T >= 0.9).sum(axis=1) - 1
+    found = np.array([got[i] for i in range(len(vectors))])
+    assert (found <= links).all() and found.sum() >= 0.96 * links.sum() > 0
+    # as for a table so large that comparing every pair is out of the question
+    mean, directions, bits, tables = itq.plan(base[2000:], 1_000_000)
+    assert bits and itq.measured([(base[:2000], near)], mean, directions, bits) >= 0.96
+
+
 def test_html_layout(spark):
     page = (
         "<head><title>T</title><style>.x{display:none}</style><body><h1>A &amp; b</h1><p>One <b>two</b>"
