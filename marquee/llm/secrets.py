@@ -1,8 +1,12 @@
 """Secret scan: a random forest over candidate strings removes false positives.
 
-Candidates are runs of at least ``LEAST`` characters that secrets are made of. Each is described by
+Candidates are runs of at least 16 characters that secrets are made of, with or without a digit, and
+of any length and punctuation the values after names of secrets (``password = ...``, to the closing
+quote, or without quotes to the next blank, less a full stop, comma, semicolon or closing bracket at
+the end) and the passwords of ``scheme://user:password@host``. Each is described by
 
-* its length, and its share of digits, capitals and other signs;
+* its length, its share of digits, capitals, vowels and other signs, and whether it is a plain word
+  or a placeholder;
 * character transitions: how often the kind of character changes, how many transitions are rare in
   words (a consonant run, a digit between letters), and its number of distinct characters;
 * dictionary coverage: the part of it made of common words and word endings;
@@ -32,16 +36,23 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-LEAST = 16
 AROUND = 48  # characters of context on either side
 THRESHOLD = 0.5
 FINDINGS = 6_000  # labelled findings made by rule
 TREES, DEPTH, SEED = 40, 8, 11
-CANDIDATE = r"(?<![A-Za-z0-9_+/\-])(?=[A-Za-z_+/\-]{0,512}[0-9])[A-Za-z0-9_+/\-]{16,}={0,2}"
 MARK = "[SECRET]"
 
 # Words that name secrets, words that name harmless strings, words of paths.
 NAMES_SECRET = "api[_-]?key|apikey|token|secret|passw|credential|auth|bearer|private|access[_-]?key"
+# what stands before a named value: the name, its quote, the sign, a quote
+NAMED = rf"(?i:{NAMES_SECRET})[A-Za-z0-9_\-]{{0,24}}[\"'`\])]{{0,2}}[ \t]{{0,4}}[:=]{{1,2}}>?[ \t]{{0,4}}"
+LOGIN = r"://[^\s/:@\"'<>]{0,128}:"
+CANDIDATE = (
+    rf"(?<=[:=>][ \t]{{0,4}}[\"'`])(?:(?<={NAMED}\")[^\"\r\n]+(?=\")|(?<={NAMED}')[^'\r\n]+(?=')|(?<={NAMED}`)[^`\r\n]+(?=`))"
+    rf"|(?<=[:=>][ \t]{{0,4}})(?<={NAMED})(?![:=>])[^\s\"'`]*[^\s\"'`,;.)\]}}]"
+    rf"|(?<=:)(?<={LOGIN})[^\s/\"'<>]+(?=@)"
+    r"|(?<![A-Za-z0-9_+/\-])[A-Za-z0-9_+/\-]{16,}={0,2}"
+)
 NAMES_HARMLESS = "commit|sha1|sha256|md5|digest|checksum|hash|uuid|guid|revision|integrity|etag|id"
 PATH_HARMLESS = "test|example|sample|mock|fixture|doc"
 PATH_CONFIG = "config|env|settings|deploy|secret"
@@ -80,6 +91,14 @@ def features() -> dict[str, Column]:
         "digits": count("[0-9]") / length,
         "capitals": count("[A-Z]") / length,
         "signs": count(r"[_+/=\-]") / length,
+        "punctuation": count(r"[^A-Za-z0-9_+/=\-\s]") / length,
+        "blanks": count(r"\s") / length,
+        "vowels": count("(?i)[aeiou]") / length,
+        "kinds": sum(F.when(text.rlike(k), 1.0).otherwise(0.0) for k in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]")),
+        "word": F.when(text.rlike(r"^\p{L}?[\p{Ll}\s]+[.!?]?$") | text.rlike(r"^\p{Lu}+$"), 1.0).otherwise(0.0),
+        "placeholder": F.when(text.rlike(r"^(?:[$%<{\[(].*|.*[>})\]]|[*.xX\-_/+]+)$"), 1.0).otherwise(0.0),
+        "named": F.when(before.rlike(NAMED + "[\"'`]?$"), 1.0).otherwise(0.0),
+        "login": F.when(before.rlike(LOGIN + "$"), 1.0).otherwise(0.0),
         "hex": F.when(text.rlike(r"^[0-9a-f]+$") | text.rlike(r"^[0-9A-F]+$"), 1.0).otherwise(0.0),
         "uuid": F.when(text.rlike(r"(?i)^[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}$"), 1.0).otherwise(0.0),
         "numeric": F.when(text.rlike(r"^[0-9+\-/]+$"), 1.0).otherwise(0.0),
@@ -118,8 +137,15 @@ def labelled_findings(spark: SparkSession, size: int = FINDINGS) -> DataFrame:
     length = pick("n", ["20", "24", "32", "36", "40", "44", "48", "64"]).cast("int")
     word = pick("w", WORDS.split())
     words = F.concat_ws("-", word, pick("v", WORDS.split()), pick("u", WORDS.split()), pick("t", WORDS.split()), F.substring(random("y"), 1, 1), (row % 90 + 10).cast("string"))
-    secret = pick("s", ["hex40", "hex", "base", "url", "akia", "ghp", "sk"])
-    lure = pick("l", ["hash", "uuid", "words", "number", "path", "filler", "inline", "long"])
+    letters = F.translate(based, "0123456789+/", "qWxZvKjBgYtR")
+    sign = pick("z", list("!@#$%&*?.:;~^"))
+    leet = F.translate(F.initcap(F.concat(word, pick("v", WORDS.split()))), "oeas", "0345")
+    password = F.when(row % 3 == 0, F.concat(F.substring(leet, 1, 9), sign, F.substring(based, 1, 3), F.lit("!"))).when(
+        row % 3 == 1, F.concat(F.substring(based, 1, 4), sign, F.substring(letters, 5, 4), pick("m", list("!#&$%+")), F.substring(hexed, 1, 2))
+    ).otherwise(F.concat(F.substring(leet, 1, 8), sign))
+    names = ["NAME", "TOKEN", "PASSWORD", "API_KEY", "SECRET", "VALUE"]
+    secret = pick("s", ["hex40", "hex", "base", "url", "akia", "ghp", "sk", "letters", "akia letters", "password", "login"])
+    lure = pick("l", ["hash", "uuid", "words", "number", "path", "filler", "inline", "long", "plain", "identifier", "placeholder", "joined"])
     good = row % 2 == 0
     candidate = (
         F.when(good & (secret == "hex40"), F.substring(hexed, 1, 40))
@@ -128,6 +154,9 @@ def labelled_findings(spark: SparkSession, size: int = FINDINGS) -> DataFrame:
         .when(good & (secret == "url"), F.expr("substring(urls, 1, length)"))
         .when(good & (secret == "akia"), F.concat(F.lit("AKIA"), F.upper(F.substring(random("k"), 1, 16))))
         .when(good & (secret == "ghp"), F.concat(F.lit("ghp_"), F.expr("substring(replace(replace(based, '+', 'p'), '/', 'q'), 1, 36)")))
+        .when(good & (secret == "letters"), F.expr("substring(translate(based, '0123456789+/', 'qWxZvKjBgYtR'), 1, length)"))
+        .when(good & (secret == "akia letters"), F.concat(F.lit("AKIA"), F.upper(F.substring(letters, 1, 16))))
+        .when(good & secret.isin("password", "login"), F.when(secret == "password", password).otherwise(F.translate(password, "@", "!")))
         .when(good, F.concat(F.lit("sk_live_"), F.expr("substring(replace(replace(based, '+', 'p'), '/', 'q'), 1, 24)")))
         .when(lure == "hash", F.expr("substring(hexed, 1, if(id % 4 = 1, 40, 64))"))
         .when(lure == "uuid", F.expr("concat_ws('-', substring(hexed, 1, 8), substring(hexed, 9, 4), substring(hexed, 13, 4), substring(hexed, 17, 4), substring(hexed, 21, 12))"))
@@ -136,6 +165,10 @@ def labelled_findings(spark: SparkSession, size: int = FINDINGS) -> DataFrame:
         .when(lure == "path", F.concat(F.lit("usr/"), F.replace(words, F.lit("-"), F.lit("/"))))
         .when(lure == "filler", F.concat(F.repeat(pick("f", ["x", "0", "X", "a1"]), 12), F.lit("00000000")))
         .when(lure == "inline", F.expr("substring(urls, 1, length)"))
+        .when(lure == "plain", F.when(row % 4 == 1, word).when(row % 8 == 3, F.initcap(word)).otherwise(F.concat_ws(" ", F.initcap(word), pick("v", WORDS.split()), pick("u", WORDS.split()))))
+        .when(lure == "identifier", F.when(row % 4 == 1, F.concat_ws("_", pick("v", WORDS.split()), pick("u", WORDS.split()), word, pick("t", WORDS.split()))).otherwise(F.replace(F.initcap(F.concat_ws(" ", pick("v", WORDS.split()), pick("u", WORDS.split()), word, pick("t", WORDS.split()))), F.lit(" "))))
+        .when(lure == "placeholder", F.when(row % 8 == 1, F.concat(F.lit("${"), pick("v", names), F.lit("}"))).when(row % 8 == 3, F.concat(F.lit("<your-"), word, F.lit(">"))).when(row % 8 == 5, pick("v", ["None", "null", "true", "false", "********", "xxxxxxxx", "os.environ", "getpass()", "10", "3600"])).otherwise(F.repeat(pick("f", ["-", "_", "/", "+-"]), 24)))
+        .when(lure == "joined", F.concat(pick("v", WORDS.split()), pick("u", WORDS.split()), pick("t", WORDS.split()), pick("w2", ["ation", "ungen", "ements", "alization", "schaften"])))
         .otherwise(F.concat(word, pick("v", WORDS.split()), pick("u", WORDS.split()), F.lit("2"), word))
     )
     said = pick("b", ["api_key = ", "token = ", "secret: ", "password=", "auth_token: ", "access_key = ", "credentials ", "bearer "])
@@ -143,8 +176,12 @@ def labelled_findings(spark: SparkSession, size: int = FINDINGS) -> DataFrame:
     plain = F.when(lure.isin("hash", "number", "uuid"), pick("q", ["commit ", "sha256: ", "md5 ", "checksum=", "uuid: ", "id = ", "revision ", "digest: ", "number "])).when(
         lure == "inline", pick("q", ["https://img.example.com/", "http://www.example.org/p/", "https://cdn.example.net/static/"])
     ).otherwise(plain)
+    said = F.when(secret == "login", pick("b", ["postgres://app:", "https://user:", "mysql://root:", "ftp://anna:", "amqp://a.b:"])).when(
+        secret == "password", pick("b", ["password = ", "passwd: ", "DB_PASSWORD=", "secret: ", "userPassword: ", "token="])
+    ).when(secret.isin("letters", "akia letters") & (row % 3 == 0), pick("b", ["key=", "key: ", "KEY = ", "access key id: "])).otherwise(said)
+    plain = F.when(lure.isin("plain", "placeholder"), pick("q", ["author: ", "password: ", "token = ", "secret: ", "private: ", "auth=", "API_KEY=", "tokens: "])).otherwise(plain)
     quote = pick("o", ['"', "'", "", '"'])
-    quoted = F.when(good, quote).otherwise(F.when(lure == "inline", "").otherwise(pick("o", ["", "", '"', ""])))
+    quoted = F.when(good & (secret == "login"), "").when(good, quote).otherwise(F.when(lure == "inline", "").otherwise(pick("o", ["", "", '"', ""])))
     path = F.when(
         good, pick("h", ["src/config/app.env", "deploy/settings.py", "src0", "notes.txt", "web/main.js"])
     ).otherwise(pick("h", ["tests/test_app.py", "docs/example.md", "src0", "notes.txt", "web/main.js"]))
@@ -154,7 +191,7 @@ def labelled_findings(spark: SparkSession, size: int = FINDINGS) -> DataFrame:
     return made.select(
         candidate.alias("candidate"),
         F.concat(pick("c", ["so the ", "", "in this ", "export "]), F.when(good, said).otherwise(plain), quoted).alias("before"),
-        F.concat(quoted, F.lit(" and more")).alias("after"),
+        F.when(good & (secret == "login"), "@db.example.com/x").otherwise(F.concat(quoted, F.lit(" and more"))).alias("after"),
         path.alias("path"),
         good.cast("double").alias("label"),
     )
@@ -183,7 +220,7 @@ def candidates(documents: DataFrame, extra: tuple[str, ...] = ("doc_id",)) -> Da
     zipped = F.zip_with(
         "found",
         F.arrays_zip(
-            F.transform(F.slice("between", F.lit(1), F.size("found")), lambda x: F.struct(F.length(x).alias("n"), F.right(x, F.lit(AROUND)).alias("before"))).alias("b"),
+            F.transform(F.slice("between", F.lit(1), F.size("found")), lambda x, i: F.struct(F.length(x).alias("n"), F.right(F.concat(F.coalesce(F.get("found", i - 1), F.lit("")), x), F.lit(AROUND)).alias("before"))).alias("b"),
             F.transform(F.slice("between", F.lit(2), F.size("found")), lambda x: F.left(x, F.lit(AROUND))).alias("after"),
         ),
         lambda c, x: F.struct(c.alias("candidate"), x["b"]["n"].alias("n"), x["b"]["before"].alias("before"), x["after"].alias("after")),
