@@ -4,12 +4,14 @@ A tree builder reads tags in order, with implied ends (a block ends an open para
 item before, a cell the cell before ...) and void elements. Visibility: content of head, scripts,
 styles and templates is not shown, nor elements with ``hidden``, with ``display: none`` or
 ``visibility: hidden`` in their style, or named by such a rule (tag, .class or #id) of the page's
-style sheets. The renderer keeps paragraphs apart by a blank line and other blocks by a line break,
+style sheets; a later rule of the same selector that shows them again holds, and rules under a
+condition (``@media print``, a width ...) do not, other than ``@media screen`` and ``all``. An open
+head ends at the first text or tag that does not belong in it. The renderer keeps paragraphs apart by a blank line and other blocks by a line break,
 marks and indents list items, keeps preformatted text, and aligns the cells of tables.
 
 Cases: null HTML gives null text; empty or text-only HTML gives its text; unclosed and unopened tags,
 broken attributes and entities are taken as browsers roughly do; elements nested deeper than
-``DEPTH`` become siblings, no text is lost; very long pages are rendered whole; an empty table gives
+``DEPTH`` become siblings with their own visibility, no text is lost; very long pages are rendered whole; an empty table gives
 no rows; repeated rows are alike; extra columns are ignored.
 """
 
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -58,10 +61,52 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
-RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+SHOWN = re.compile(r"(display|visibility)\s*:\s*([a-z-]+)(\s*!\s*important)?", re.I)
+CSS = re.compile(r"\"(?:[^\"\\]|\\.)*\"|'(?:[^'\\]|\\.)*'|[{};]", re.S)
+COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+ALWAYS = re.compile(r"@media\s+(?:only\s+)?(?:screen|all)\s*\Z|@layer\b|@(?:media|supports)\s*\Z", re.I)
+IN_HEAD = set("base basefont bgsound link meta noscript script style template title".split())
 SPACES = re.compile(r"[ \t\n\r\f]+")
 
 
+def rules(sheet: str) -> Iterator[tuple[str, str]]:
+    """(selectors, declarations) that hold on a screen of any size, in order."""
+    sheet = COMMENT.sub(" ", sheet).replace("<!--", " ").replace("-->", " ")
+    holds = [True]  # per open block of rules
+    start, head = 0, None
+    for mark in CSS.finditer(sheet):
+        sign = mark.group()
+        if sign == "{":
+            head = sheet[start : mark.start()].strip()
+            if head.startswith("@"):
+                holds.append(holds[-1] and bool(ALWAYS.match(head)))
+                head = None
+            start = mark.end()
+        elif sign == "}":
+            if head is not None:
+                if holds[-1]:
+                    yield head, sheet[start : mark.start()]
+                head = None
+            elif len(holds) > 1:
+                holds.pop()
+            start = mark.end()
+        elif sign == ";" and head is None:  # ends @import and the like
+            start = mark.end()
+    if head is not None and holds[-1]:  # a sheet may end in an open rule
+        yield head, sheet[start:]
+
+
+def heed(sheet: str, declared: dict[str, dict[str, tuple[bool, bool]]]) -> None:
+    """Note per selector and property whether it hides and whether it is important; later ones win."""
+    for selectors, body in rules(sheet):
+        for name, value, important in SHOWN.findall(body):
+            hides = value.lower() in ("none", "hidden", "collapse")
+            for selector in selectors.split(","):
+                of = declared.setdefault(selector.strip(), {})
+                if important or not of.get(name.lower(), (False, False))[1]:
+                    of[name.lower()] = (hides, bool(important))
+
+
 class Node:
     __slots__ = ("tag", "attributes", "children", "shown")
 
@@ -73,15 +118,32 @@ def build(page: str) -> Node:
     """The tree of a page; children are nodes and strings (entities resolved)."""
     root = Node("html", {})
     stack = [root]
-    hidden_by: set[str] = set()
+    declared: dict[str, dict[str, tuple[bool, bool]]] = {}
     at = 0
+    opened: Counter[str] = Counter()  # open elements by tag, so that none is sought in vain
+    cover: int | None = None  # the first hidden element of the stack beyond DEPTH
 
     def close(index: int) -> None:
+        nonlocal cover
+        opened.subtract(node.tag for node in stack[index:])
         del stack[index:]
+        if cover is not None and index <= cover:
+            cover = None
+
+    def close_head() -> None:
+        if opened["head"]:
+            close(next(i for i, node in enumerate(stack) if node.tag == "head"))
+
+    def add(child: Node | str) -> None:
+        # what lies in a hidden element beyond DEPTH goes into that element, all else beside it
+        at = min(len(stack), DEPTH) - 1 if cover is None else cover
+        stack[at].children.append(child)
 
     def text(value: str) -> None:
         if value:
-            stack[-1].children.append(html.unescape(value) if "&" in value else value)
+            if stack[-1].tag == "head" and value.strip():
+                close_head()
+            add(html.unescape(value) if "&" in value else value)
 
     while True:
         match = TOKEN.search(page, at)
@@ -95,7 +157,7 @@ def build(page: str) -> Node:
             continue
         tag = name.lower()
         if ending:
-            for index in range(len(stack) - 1, 0, -1):
+            for index in range(len(stack) - 1, 0, -1) if opened[tag] else ():
                 if stack[index].tag == tag:
                     close(index)
                     break
@@ -103,8 +165,10 @@ def build(page: str) -> Node:
                     break  # an end inside a cell closes nothing outside it
             continue
         if tag in ("html", "body"):
-            _close_head(stack)
+            close_head()
             continue
+        if tag not in IN_HEAD and tag != "head" and stack[-1].tag == "head":
+            close_head()
         attributes = {
             key.lower(): html.unescape(a or b or c)
             for key, a, b, c in (ATTRIBUTE.findall(rest) if rest.strip("/ \n") else ())
@@ -113,19 +177,20 @@ def build(page: str) -> Node:
             end = re.compile(rf"</{tag}\s*/?>", re.I).search(page, at)
             stop, after = (end.start(), end.end()) if end else (len(page), len(page))
             if tag == "style":
-                for selectors, body in RULE.findall(page[at:stop]):
-                    if NOT_SHOWN.search(body):
-                        hidden_by |= {s.strip() for s in selectors.split(",")}
+                if ALWAYS.match(f"@media {attributes.get('media', '')}".strip()):
+                    heed(page[at:stop], declared)
             elif tag == "textarea":
+                if stack[-1].tag == "head":
+                    close_head()
                 node = Node(tag, attributes)
                 node.children.append(html.unescape(page[at:stop]))
-                stack[-1].children.append(node)
+                add(node)
             at = after
             continue
         if tag in BLOCK:
             if tag not in ("head",):
-                _close_head(stack)
-            for index in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph
+                close_head()
+            for index in range(len(stack) - 1, 0, -1) if opened["p"] else ():  # a block ends an open paragraph
                 if stack[index].tag == "p":
                     close(index)
                     break
@@ -134,7 +199,7 @@ def build(page: str) -> Node:
         if tag in ENDS:
             ended, barrier = ENDS[tag]
             lowest = None
-            for index in range(len(stack) - 1, 0, -1):
+            for index in range(len(stack) - 1, 0, -1) if any(opened[t] for t in ended) else ():
                 if stack[index].tag in ended:
                     lowest = index
                 elif stack[index].tag in barrier:
@@ -147,22 +212,23 @@ def build(page: str) -> Node:
             or tag == "input" and attributes.get("type", "").lower() == "hidden"
         )
         node = Node(tag, attributes, shown)
-        if hidden_by and (
-            tag in hidden_by
-            or f"#{attributes.get('id', '')}" in hidden_by
-            or any(f".{c}" in hidden_by for c in attributes.get("class", "").split())
-        ):
-            node.shown = False
-        stack[-1].children.append(node)
+        if declared and shown:
+            # tags, classes and ids in rising order of weight, each property for itself
+            names = [tag, *(k for k in declared if k[:1] == "." and k[1:] in attributes.get("class", "").split())]
+            if "id" in attributes:
+                names.append(f"#{attributes['id']}")
+            said: dict[str, tuple[bool, bool]] = {}
+            for of in (declared[n] for n in names if n in declared):
+                for name, (hides, important) in of.items():
+                    if important or not said.get(name, (False, False))[1]:
+                        said[name] = (hides, important)
+            node.shown = not any(hides for hides, _ in said.values())
+        add(node)
         if tag not in VOID and not rest.rstrip().endswith("/") or tag in BLOCK and tag != "hr":
-            if len(stack) < DEPTH:
-                stack.append(node)
-
-
-def _close_head(stack: list[Node]) -> None:
-    for index in range(len(stack) - 1, 0, -1):
-        if stack[index].tag == "head":
-            del stack[index:]
+            stack.append(node)
+            opened[tag] += 1
+            if cover is None and len(stack) > DEPTH and (not node.shown or tag in HIDDEN):
+                cover = len(stack) - 1
 
 
 class Lines:

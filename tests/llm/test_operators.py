@@ -148,6 +148,21 @@ def test_html_layout(spark):
     assert html_text.extracted(frame.limit(0)).count() == 0
 
 
+def test_html_loses_no_visible_text():
+    text = html_text.visible_text
+    sheet = "<style>@media print{.np{display:none}} @media (max-width:9px){p{display:none}} .x{display:none} .x{display:block}"
+    sheet += ".y{display:none}@media screen{.z{display:none}}</style>"
+    body = "<p class=np>a<p class=x>b<p class=y>no<p class=z>no<p>c"
+    assert text(f"<head>{sheet}</head><body>{body}") == "a\n\nb\n\nc"
+    assert text("<html><head><title>T</title>Hello <b>x</b><p>y") == "Hello x\n\ny"
+    assert text("<head><meta charset=utf-8><a href=u>link</a> z<p>y") == "link z\n\ny"
+    deep = "<div>" * 130 + "a<span hidden>no<b>no</b></span><svg><text>no</text></svg><span>b</span>c"
+    assert text(deep + "</div>" * 130 + "d") == "abc\nd"
+    assert text("<div>" * 130 + "<p hidden>no<p>yes<ul><li hidden>no<li>x") == "yes\n\n- x"
+    # the end of a deep element closes no element above of the same name
+    assert text("<b hidden>" + "<i>" * 130 + "<b>no</b>no") == ""
+
+
 def test_banded_matches_are_a_common_subsequence():
     random = np.random.default_rng(2)
     for _ in range(60):
