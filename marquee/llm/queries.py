@@ -34,11 +34,15 @@ def query(function: Query) -> Query:
 
 
 def vocabulary() -> tuple[bytes, str]:
-    """The rank file of the byte_bpe_50k vocabulary (same ids as its tokenizer file) and pattern."""
+    """The rank file of the byte_bpe_50k vocabulary (same ids as its tokenizer file, whose added
+    tokens come with it) and pattern."""
     import public_tokenizers
 
     return (
-        packing.tokenizer_file(public_tokenizers.path("byte_bpe_50k.tiktoken")),
+        packing.with_added_tokens(
+            packing.tokenizer_file(public_tokenizers.path("byte_bpe_50k.tiktoken")),
+            packing.tokenizer_file(public_tokenizers.path("byte_bpe_50k.json")),
+        ),
         public_tokenizers.PATTERN,
     )
 

@@ -82,6 +82,20 @@ def test_rank_file_gives_the_tokenizer_files_ids():
     assert all(fast(t or "") == slow(t or "") for _, t, *_ in EDGE)
 
 
+def test_added_tokens_have_the_tokenizer_files_ids():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    fast = packing.Encoder(*queries.vocabulary()).encode
+    model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert fast("a <|endoftext|> b") == [64, 220, 50256, 275]
+    for text in ("<|endoftext|>", "x<|endoftext|><|endoftext|>\n y", "<|endoftext| > <|ENDOFTEXT|>", "é <|endoftext|>  "):
+        assert fast(text) == model.encode(text, add_special_tokens=False).ids
+    for start in range(0, 0x30000, 20):  # every code point
+        text = "".join(f" {chr(c)}x{chr(c)}1 " for c in range(start, start + 20) if not 0xD800 <= c < 0xE000)
+        assert fast(text) == model.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("rest", range(0, 2048, 7))
 def test_cut_covers_a_remainder(rest):
     pieces = packing.cut(rest)
