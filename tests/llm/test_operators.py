@@ -172,7 +172,7 @@ def test_html_loses_no_visible_text():
     assert text("<head><meta charset=utf-8><a href=u>link</a> z<p>y") == "link z\n\ny"
     deep = "<div>" * 130 + "a<span hidden>no<b>no</b></span><svg><text>no</text></svg><span>b</span>c"
     assert text(deep + "</div>" * 130 + "d") == "abc\nd"
-    assert text("<div>" * 130 + "<p hidden>no<p>yes<ul><li hidden>no<li>x") == "yes\n\n- x"
+    assert text("<div>" * 130 + "<p hidden>no<p>yes<ul><li hidden>no<li>x") == "yes\n\nx"
     # the end of a deep element closes no element above of the same name
     assert text("<b hidden>" + "<i>" * 130 + "<b>no</b>no") == ""
 
