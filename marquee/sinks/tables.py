@@ -129,7 +129,9 @@ class GoldTable:
     def _log(self) -> DataFrame:
         try:
             return self.spark.read.schema(_VERSIONS).json(f"{self.root}/versions")
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], _VERSIONS)
 
     def _last(self) -> tuple[int, dict[str, str]]:

@@ -65,9 +65,11 @@ def read_reject_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_url_state(spark: SparkSession, path: str) -> DataFrame:
-    """State rows of the current layout; an unreadable or missing table is an empty one."""
+    """State rows of the current layout; a missing table is an empty one, an unreadable one fails."""
     try:
-        state = spark.read.schema(URL_STATE).option("ignoreCorruptFiles", True).parquet(path)
-    except AnalysisException:
+        state = spark.read.schema(URL_STATE).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], URL_STATE)
     return state.filter(F.col("version") == 1)

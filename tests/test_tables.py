@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from urllib.robotparser import RobotFileParser
 
 from pyspark.sql import functions as F
@@ -213,3 +215,19 @@ def test_between_is_inclusive(spark):
     )
     kept = stats.between(frame, "2024-01-01T01:00:00Z", "2024-01-02").collect()
     assert [r.start for r in kept] == ["2024-01-01T00:00:00-01:00", "2024-01-02T01:00:00+01:00"]
+
+
+def test_a_damaged_state_table_is_no_empty_one(spark, tmp_path):
+    from marquee.schema import URL_STATE
+    from marquee.sinks.tables import GoldTable
+    from marquee.sources.runs import read_url_state
+    from marquee.streaming.incremental import KEPT, earlier_batches
+
+    path = str(tmp_path / "none")
+    assert read_url_state(spark, path).count() == earlier_batches(spark, path, KEPT, 1).count() == 0
+    assert GoldTable(spark, path).read().count() == 0
+    spark.createDataFrame([], URL_STATE).write.parquet(path)
+    (tmp_path / "none" / "part-damaged.parquet").write_bytes(b"no parquet file at all")
+    for read in (read_url_state(spark, path), earlier_batches(spark, path, URL_STATE, 1)):
+        with pytest.raises(Exception, match="(?i)parquet"):
+            read.collect()
