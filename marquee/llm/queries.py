@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm import (
+    best_fit,
     edit_embedding,
+    fill_middle,
+    hard_negatives,
     html_text,
     itq,
     mixing,
@@ -139,3 +142,79 @@ def op5_forest_secrets(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op3_html_layout(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extracted(table(spark, folder, "pages"))
+
+
+@query
+def op11_swar_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_middle.digests(fill_middle.transformed(table(spark, folder, "documents")))
+
+
+ORACLES["op11_swar_fill_middle"] = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS u,
+    sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents),
+c AS (
+  SELECT doc_id, t, u, CAST(len(u) AS BIGINT) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1,
+    CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2, CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3,
+    CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4
+  FROM d),
+p AS (
+  SELECT doc_id, t, n,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+        OR h3 % 100 >= 100 THEN 'plain'
+      WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form,
+    array_to_string(u[1:least(h1 % (n + 1), h2 % (n + 1))], '') AS prefix,
+    array_to_string(u[least(h1 % (n + 1), h2 % (n + 1)) + 1:greatest(h1 % (n + 1), h2 % (n + 1))], '')
+      AS middle,
+    array_to_string(u[greatest(h1 % (n + 1), h2 % (n + 1)) + 1:], '') AS suffix
+  FROM c)
+SELECT doc_id, n, form,
+  CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+    ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p
+"""
+
+
+@query
+def op12_dominance_best_fit(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    source = packing.tokenizer_file(public_tokenizers.path("word_bpe_49k.json"))
+    return best_fit.packed(table(spark, folder, "documents"), source)
+
+
+@query
+def op13_box_tree_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(
+        rows.select("vec_id", moved.alias("label"), "embedding"), F.col("vec_id") % 100 == 0
+    )
+
+
+ORACLES["op13_box_tree_negatives"] = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label = e.label AS same, e.vec_id,
+    CAST(list_inner_product(a.v, e.v) AS BIGINT) AS score
+  FROM e AS a JOIN e ON a.vec_id <> e.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score, CAST(row_number() OVER (
+      PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM p JOIN s USING (anchor_id)
+  WHERE NOT s.same AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
