@@ -25,7 +25,9 @@ KEY_COLUMNS = ["dedup_key", "identity", "day", "dated"]
 
 
 def with_keys(entities: DataFrame) -> DataFrame:
-    """Add dedup_key, identity, day and dated."""
+    """Add dedup_key, identity, day and dated; rows that have all four keep them."""
+    if set(KEY_COLUMNS) <= set(entities.columns):
+        return entities
     return (
         computed(entities, {"_key": key_parts()})
         .withColumns({name: F.col("_key")[name] for name in KEY_COLUMNS})
@@ -73,25 +75,22 @@ def near_dedup(
 
     ``kept_before`` holds (identity, day) of rows kept by earlier batches; they count as arrived
     before everything in ``entities`` and are not returned.
+
+    ``seq`` is unique. Only it and the key's parts go through the windows; what is kept is then a
+    list of arrivals, by which the rows themselves are picked.
     """
     keyed = with_keys(entities)
-    columns = keyed.columns
-    dated = F.when(F.col("dated"), F.col(seq))
-    undated = F.when(~F.col("dated"), F.col(seq))
-    row = F.struct(*columns)
-    arrivals = keyed.select("identity", "day", dated.alias("_d"), undated.alias("_u"),
-                            row.alias("_row"), F.lit(False).alias("_held"))
+    arrivals = keyed.select("identity", "day", *[
+        F.when(dated, F.col(seq)).alias(name)
+        for dated, name in ((F.col("dated"), "_d"), (~F.col("dated"), "_u"))
+    ], F.lit(False).alias("_held"))
     if kept_before is not None:
         arrivals = arrivals.unionByName(
             kept_before.select("identity", "day", F.lit(True).alias("_held")),
             allowMissingColumns=True,
         )
     days = arrivals.groupBy("identity", "day").agg(
-        F.min("_d").alias("dated_seq"),
-        F.min("_u").alias("undated_seq"),
-        F.min_by("_row", "_d").alias("dated_row"),
-        F.min_by("_row", "_u").alias("undated_row"),
-        F.max("_held").alias("held"),
+        F.min("_d").alias("dated_seq"), F.min("_u").alias("undated_seq"), F.max("_held").alias("held")
     )
     sides = {
         "left": (Window.partitionBy("identity").orderBy("day"), -1),
@@ -127,12 +126,11 @@ def near_dedup(
     )
     kept = F.array_compact(
         F.array(
-            F.when(keep_dated, F.col("dated_row")), F.when(keep_undated, F.col("undated_row"))
+            F.when(keep_dated, F.col("dated_seq")), F.when(keep_undated, F.col("undated_seq"))
         )
     )
-    return days.select(F.explode(kept).alias("_row")).select(
-        *[F.col("_row")[name].alias(name) for name in columns]
-    )
+    chosen = days.select(F.explode(kept).alias(seq))
+    return keyed.join(chosen, seq, "left_semi")
 
 
 def duplicate_counts(entities: DataFrame, kept: DataFrame, by: str = "source_id") -> DataFrame:

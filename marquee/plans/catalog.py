@@ -32,6 +32,7 @@ from marquee.plans.run import judge, run
 from marquee.schema import GOLD_FIXED, GOLD_REFRESHED, RULES
 from marquee.session import checkpoint_dir, configured, spread
 from marquee.sinks import tables
+from marquee.sinks.history import KeptKeys
 from marquee.sources import pages as page_source
 from marquee.sources import registry, runs
 from marquee.streaming import dedup as stream_dedup
@@ -815,7 +816,7 @@ def full_run(spark: SparkSession, folder: str) -> DataFrame:
     root, _ = order_run(spark, folder)
     manifests = runs.read_manifests(spark, f"{root}/manifests")
     counted = manifests.select(F.explode("metrics").alias("counter", "value"))
-    return counted.filter("counter <> 'run_duration_ms'").distinct()
+    return counted.filter("counter <> 'run_duration_ms'")
 
 
 def full_run_silver(spark: SparkSession, folder: str) -> DataFrame:
@@ -893,11 +894,11 @@ def stream_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     early = "ts < TIMESTAMP_NTZ'2024-01-16 00:00:00'"
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        unique = incremental.dedup_batch(batch, f"{root}/keys", batch_id)
+        keys, name = KeptKeys(batch.sparkSession, f"{root}/keys"), f"batch-{batch_id}"
+        unique = incremental.dedup_batch(batch, keys, name)
         columns = unique.select("event_id", "dedup_key", "identity", "day")
         incremental.write_batch(columns, kept, batch_id)
-        written = batch.sparkSession.read.parquet(kept).filter(F.col("batch") == batch_id)
-        incremental.remember_keys(written, f"{root}/keys", batch_id)
+        keys.remember(batch.sparkSession.read.parquet(kept).filter(F.col("batch") == batch_id), name)
 
     for arrived in (listings.filter(early), listings.filter(f"NOT {early}")):
         arrived.write.mode("append").parquet(source)

@@ -6,30 +6,37 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.operators import prefix, validate
+from marquee.operators.joins import join_small
 from marquee.sources import registry as registry_source
 
 
-def newest_run_per_source(manifests: DataFrame) -> DataFrame:
-    """The stats of the newest manifest that mentions a source.
+def newest_run_per_source(manifests: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """The stats of the newest run that mentions a source.
 
-    Manifests have run_id, run_time, name and source_stats.
+    Manifests have run_id, run_time, name and source_stats. Runs that write the counts of their
+    sources as a table instead of into the manifest are looked up in ``counts``.
     """
-    mentioned = manifests.select(
-        "run_id", "run_time", "name", F.explode("source_stats").alias("source_id", "stats")
+    columns = ["rows_new", "rows_updated", "rejects"]
+    named = ["run_id", "run_time", "name"]
+    mentioned = manifests.select(*named, F.explode("source_stats").alias("source_id", "s")).select(
+        *named, "source_id", *[F.col(f"s.{name}") for name in columns]
     )
+    if counts is not None:
+        listed = join_small(counts, manifests.select(*named), "run_id", spread_by="source_id")
+        mentioned = mentioned.unionByName(listed.select(*mentioned.columns))
     newest = Window.partitionBy("source_id").orderBy(
         F.desc_nulls_last("run_time"), F.desc("name")
     )
     return (
         mentioned.withColumn("_rank", F.row_number().over(newest))
         .filter(F.col("_rank") == 1)
-        .select("source_id", "run_id", "stats.*")
+        .select("source_id", "run_id", *columns)
     )
 
 
-def status(registry: DataFrame, manifests: DataFrame) -> DataFrame:
+def status(registry: DataFrame, manifests: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """Every registered source with its latest counts; zeros and no run when it never ran."""
-    latest = newest_run_per_source(manifests)
+    latest = newest_run_per_source(manifests, counts)
     return registry.select("source_id", "row_no").join(latest, "source_id", "left").select(
         "row_no",
         "source_id",

@@ -115,6 +115,16 @@ SOURCE_STATS = T.MapType(
     ),
 )
 
+SOURCE_COUNTS = T.StructType(
+    [
+        T.StructField("source_id", T.StringType()),
+        T.StructField("rows_new", T.LongType()),
+        T.StructField("rows_updated", T.LongType()),
+        T.StructField("rejects", T.LongType()),
+        T.StructField("run_id", T.StringType()),
+    ]
+)
+
 MANIFEST = T.StructType(
     [
         T.StructField("run_id", T.StringType()),

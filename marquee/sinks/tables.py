@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from marquee.operators import merge
 from marquee.operators.stats import column_fill
 from marquee.operators.validate import prune
 from marquee.schema import ENTITY_COLUMNS, GOLD_FIXED, GOLD_REFRESHED, PROPERTIES
+from marquee.sinks.history import STATE, UrlHistory
+from marquee.sinks.versions import Version, VersionedTable, bucket
 from marquee.sources.pages import with_bronze_columns
 
 GOLD = T.StructType(
@@ -20,13 +21,6 @@ GOLD = T.StructType(
         for name in GOLD_REFRESHED
     ]
 )
-_VERSIONS = T.StructType(
-    [
-        T.StructField("version", T.LongType()),
-        T.StructField("batch", T.StringType()),
-        T.StructField("entity_types", T.MapType(T.StringType(), T.StringType())),
-    ]
-)
 
 
 def run_date(run_id: Column) -> Column:
@@ -107,60 +101,58 @@ def write_row(row: DataFrame, path: str) -> None:
     row.write.mode("overwrite").json(path)
 
 
-def write_url_state(state: DataFrame, path: str) -> None:
-    """Replace the URL state. The new state is built from the old one, so it is written beside it
-    first and the table is replaced from there."""
-    staged = f"{path.rstrip('/')}_next"
-    state.write.mode("overwrite").parquet(staged)
-    state.sparkSession.read.parquet(staged).write.mode("overwrite").parquet(path)
+def write_url_state(state: DataFrame, path: str, batch: str) -> None:
+    """Add observations of URLs under a batch name; the last one of a URL is its state."""
+    columns = [
+        F.col(f.name) if f.name in state.columns else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in STATE.fields
+    ]
+    UrlHistory(state.sparkSession, path).remember(state.select(*columns), batch)
+
+
+def write_source_counts(counts: DataFrame, path: str, run_id: str) -> None:
+    """rows_new, rows_updated and rejects of every source of a run; a repeated run replaces its own."""
+    (
+        counts.withColumn("run_id", F.lit(run_id))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run_id")
+        .parquet(path)
+    )
 
 
 class GoldTable:
-    """The keyed gold table as versions of parquet folders.
+    """The keyed gold table in hash buckets of each type, every version a list of folders.
 
-    A batch writes the types it touches to new folders and then adds one line to the version log;
-    readers follow the log, so a batch that fails on the way leaves the table as it was. A batch
-    name already in the log is not applied twice.
+    A batch is joined with the buckets it touches and only these are written anew. The log (see
+    `versions`) lets a batch in once, keeps a failed one out, and makes one of two writers at a time
+    start over from what the other one wrote.
     """
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 32) -> None:
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _log(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(_VERSIONS).json(f"{self.root}/versions")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], _VERSIONS)
+        def place() -> Column:
+            kind = F.regexp_replace("entity_type", r"\W", "_")
+            return F.concat(kind, bucket(["entity_type", "dedup_key"], buckets, "-"))
 
-    def _last(self) -> tuple[int, dict[str, str]]:
-        last = self._log().orderBy(F.desc("version")).limit(1).collect()
-        return (last[0]["version"], last[0]["entity_types"] or {}) if last else (0, {})
+        self.table = VersionedTable(spark, self.root, GOLD, place)
 
     def read(self) -> DataFrame:
-        _, folders = self._last()
-        if not folders:
-            return self.spark.createDataFrame([], GOLD)
-        return self.spark.read.schema(GOLD).parquet(*sorted(folders.values()))
+        return self.table.read()
 
     def upsert(self, batch: DataFrame, name: str) -> None:
         """Apply gold rows with at most one row per key under a batch name."""
-        if not self._log().filter(F.col("batch") == name).isEmpty():
-            return
-        version, folders = self._last()
-        touched = [row[0] for row in batch.select("entity_type").distinct().collect()]
-        if not touched:
-            return
-        version += 1
-        for entity_type in touched:
-            of_type = F.col("entity_type") == entity_type
-            if entity_type in folders:
-                current = self.spark.read.schema(GOLD).parquet(folders[entity_type])
-            else:
-                current = self.spark.createDataFrame([], GOLD)
-            folder = f"{self.root}/{entity_type}/version={version}-{name}"
-            merge.upsert(current, batch.filter(of_type)).write.mode("overwrite").parquet(folder)
-            folders = {**folders, entity_type: folder}
-        entry = self.spark.createDataFrame([(version, name, folders)], _VERSIONS)
-        entry.coalesce(1).write.mode("append").json(f"{self.root}/versions")
+        staged: dict[str, str] = {}
+
+        def change(base: Version) -> dict[str, list[str]]:
+            if not staged:  # written once, also when another writer comes first
+                staged.update(self.table.write(batch, base))
+            if not staged:
+                return base.places
+            new = self.table.rows(Version(base.number, {p: [f] for p, f in staged.items()}))
+            current = self.table.rows(base, staged)
+            merged = self.table.write(merge.upsert(current, new), base)
+            return {**base.places, **{place: [folder] for place, folder in merged.items()}}
+
+        self.table.update(name, change)

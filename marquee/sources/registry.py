@@ -99,9 +99,13 @@ def row_errors() -> Column:
 
 
 def with_rule_check(registry: DataFrame, rule_paths: DataFrame) -> DataFrame:
-    """Add ``rule_found``: whether the row's rule exists among ``rule_paths`` (rule_path)."""
+    """Add ``rule_found``: whether the row's rule exists among ``rule_paths`` (rule_path), and
+    ``rule_problem``: what is wrong with it, where the rules come with their ``problem``."""
+    problem = F.col("problem") if "problem" in rule_paths.columns else F.lit(None).cast("string")
     known = rule_paths.select(
-        F.col("rule_path").alias("css_rules_path"), F.lit(True).alias("rule_found")
+        F.col("rule_path").alias("css_rules_path"),
+        F.lit(True).alias("rule_found"),
+        problem.alias("rule_problem"),
     ).distinct()
     joined = join_small(
         registry, known, "css_rules_path", "left", spread_by="source_id", measure=rule_paths
@@ -119,7 +123,11 @@ def validate(registry: DataFrame, rule_paths: DataFrame) -> DataFrame:
         F.col("enabled") & ~F.col("rule_found"),
         F.concat(F.lit("css_rules_path: no such rule: "), F.coalesce("css_rules_path", F.lit(""))),
     )
-    errors = F.array_compact(F.concat(row_errors(), F.array(missing)))
+    unreadable = F.when(
+        F.col("enabled") & F.col("rule_problem").isNotNull(),
+        F.concat(F.lit("css_rules_path: rule not understood: "), "rule_problem"),
+    )
+    errors = F.array_compact(F.concat(row_errors(), F.array(missing, unreadable)))
     return checked.withColumn("_errors", errors).select(
         "source_id",
         (F.size("_errors") == 0).alias("ok"),
@@ -132,7 +140,11 @@ def validate(registry: DataFrame, rule_paths: DataFrame) -> DataFrame:
 
 
 def enabled_sources(registry: DataFrame, rule_paths: DataFrame) -> DataFrame:
-    """Enabled sources; the query fails on the first bad row, disabled ones included."""
+    """Enabled sources; the query fails on the first bad row, disabled ones included.
+
+    A source whose rule is not understood is no bad row: it stays, with the problem in
+    ``rule_problem``, so that the others can run.
+    """
     checked = with_rule_check(registry, rule_paths)
     problem = F.when(F.size(row_errors()) > 0, F.array_join(row_errors(), "; ")).when(
         F.col("enabled") & ~F.col("rule_found"), F.lit("css_rules_path: no such rule")
@@ -143,7 +155,7 @@ def enabled_sources(registry: DataFrame, rule_paths: DataFrame) -> DataFrame:
         F.when(problem.isNotNull(), F.raise_error(message).cast("boolean")).otherwise(
             F.col("enabled")
         )
-    ).select(*REGISTRY.fieldNames())
+    ).select(*REGISTRY.fieldNames(), "rule_problem")
 
 
 def select_sources(
@@ -168,4 +180,5 @@ def select_sources(
         F.col("css_rules_path").alias("rule_path"),
         "max_qps",
         "concurrency",
+        *[name for name in ("rule_problem",) if name in chosen.columns],
     )

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
-from marquee.schema import MANIFEST, REJECT, URL_STATE
+from marquee.schema import MANIFEST, METRICS, REJECT, SOURCE_COUNTS, URL_STATE
+from marquee.sinks.history import UrlHistory
 
 
 def _last_part(pattern: str):
@@ -65,11 +65,15 @@ def read_reject_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_url_state(spark: SparkSession, path: str) -> DataFrame:
-    """State rows of the current layout; a missing table is an empty one, an unreadable one fails."""
-    try:
-        state = spark.read.schema(URL_STATE).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], URL_STATE)
-    return state.filter(F.col("version") == 1)
+    """The state of all URLs; a missing table is an empty one, an unreadable one fails."""
+    return UrlHistory(spark, path).read().select(*URL_STATE.fieldNames())
+
+
+def read_source_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Counts per run and source that runs have written."""
+    return spark.read.schema(SOURCE_COUNTS).parquet(path)
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """Metrics rows ``run_*.json`` of runs."""
+    return spark.read.schema(METRICS).json(f"{path.rstrip('/')}/run_*.json")

@@ -127,7 +127,8 @@ def test_repeated_run_changes_nothing_and_a_second_run_updates(spark, inputs, fi
     gold = tables.GoldTable(spark, f"{root}/gold").read()
     assert gold.count() == 20
     assert gold.filter("title = 'Comet Jazz'").first().price_text == "19.75"
-    report = reports.status(sources, runs.read_manifests(spark, f"{root}/manifests"))
+    counts = runs.read_source_counts(spark, f"{root}/source_counts")
+    report = reports.status(sources, runs.read_manifests(spark, f"{root}/manifests"), counts)
     got = {r.source_id: (r.rows_new, r.rejects, r.last_run) for r in report.collect()}
     assert got["dome"] == (4, 0, "run-20240902T120000")
     assert got["rowing"] == (2, 1, "run-20240901T120000")
@@ -262,8 +263,13 @@ def test_url_state_table(spark, tmp_path):
         [("a", "1", "", "5", 1), ("b", "1", "", "5", 2)],
         "url string, etag string, last_modified string, last_seen string, version int",
     )
-    tables.write_url_state(rows, path)
+    tables.write_url_state(rows, path, "one")
     assert [r.url for r in runs.read_url_state(spark, path).collect()] == ["a"]
+    # under the same name nothing is added twice; a later batch replaces what it saw again
+    later = rows.filter("url = 'a'").withColumns({"etag": F.lit("2"), "last_seen": F.lit("10")})
+    for _ in range(2):
+        tables.write_url_state(later, path, "two")
+    assert [(r.url, r.etag) for r in runs.read_url_state(spark, path).collect()] == [("a", "2")]
 
 
 def test_manifest_of_many_sources(spark, tmp_path):

@@ -214,20 +214,26 @@ def test_between_is_inclusive(spark):
          (None,)], "start string",
     )
     kept = stats.between(frame, "2024-01-01T01:00:00Z", "2024-01-02").collect()
-    assert [r.start for r in kept] == ["2024-01-01T00:00:00-01:00", "2024-01-02T01:00:00+01:00"]
+    # a row without a date is not before or after anything
+    assert [r.start for r in kept] == ["2024-01-01T00:00:00-01:00", "2024-01-02T01:00:00+01:00", None]
+    for bounds in (("01/06/2024", None), (None, "soon"), ("", None)):
+        with pytest.raises(ValueError, match="no ISO-8601"):
+            stats.between(frame, *bounds)
 
 
 def test_a_damaged_state_table_is_no_empty_one(spark, tmp_path):
-    from marquee.schema import URL_STATE
-    from marquee.sinks.tables import GoldTable
+    from marquee.sinks.tables import GoldTable, write_url_state
     from marquee.sources.runs import read_url_state
-    from marquee.streaming.incremental import KEPT, earlier_batches
 
     path = str(tmp_path / "none")
-    assert read_url_state(spark, path).count() == earlier_batches(spark, path, KEPT, 1).count() == 0
-    assert GoldTable(spark, path).read().count() == 0
-    spark.createDataFrame([], URL_STATE).write.parquet(path)
-    (tmp_path / "none" / "part-damaged.parquet").write_bytes(b"no parquet file at all")
-    for read in (read_url_state(spark, path), earlier_batches(spark, path, URL_STATE, 1)):
-        with pytest.raises(Exception, match="(?i)parquet"):
-            read.collect()
+    assert read_url_state(spark, path).count() == 0 and GoldTable(spark, path).read().count() == 0
+    write_url_state(spark.createDataFrame([("a", "1", "", "5", 1)], URL_STATE), path, "one")
+    (written,) = (tmp_path / "none" / "rows").glob("*/place=*/*.parquet")
+    (written.parent / f".{written.name}.crc").unlink(missing_ok=True)
+    written.write_bytes(b"no parquet file at all")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        read_url_state(spark, path).collect()
+    for version in (tmp_path / "none" / "versions").iterdir():
+        version.write_text("{")
+    with pytest.raises(Exception):
+        read_url_state(spark, path)
