@@ -24,7 +24,10 @@ stays null; an empty table gives no rows; extra columns are ignored, clashing na
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -37,8 +40,10 @@ from marquee.llm.common import saved, spread
 
 CAPACITY = 2048
 END_ID = 0
-REMEMBERED = 300_000  # chunks of text whose ids a worker keeps; later new ones are encoded each time
+REMEMBERED = 400_000  # chunks of text whose ids a worker keeps
 CHUNK = 48  # longer chunks are not kept
+BLOCK_CHARS = 1 << 24  # text whose new chunks are encoded together
+PLAIN = re.compile(r"([a-z]+)([.,;:!?]*)")  # a word, and a run of marks after it
 
 PIECES = (
     "doc_id long, piece int, start long, length long, ids_crc32 long, task int, rank long"
@@ -52,37 +57,75 @@ def _schema(fields: str) -> pa.Schema:
 
 
 class Encoder:
-    """Little-endian 32-bit ids of a text by a tokenizer file that drops white space.
+    """Little-endian 32-bit ids of texts by a tokenizer file that drops white space.
 
     Spaces and line ends never belong to a token and no rule of such a file looks across one, so a
-    text's ids are those of its chunks between them, and most chunks have been seen before.
+    text's ids are those of its chunks between them. Each different chunk of a block of texts is
+    encoded once, if it was not seen before. Where the file takes a plain word and the marks after it
+    as two words of its model, which is tried once, they go to the model straight away.
     """
 
     def __init__(self, source: bytes):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallel part
         self.model = Tokenizer.from_str(source.decode())
-        self.seen: dict[str, bytes] = {}
+        self.seen: dict[str, bytes] = {"": b""}
+        self.plain = True
+        tried = ["a", "of", "zqxjkvb", "thereupon", "Wörter"[-3:], "end.", "so...", "Is?!", "x,;:"]
+        self.plain = all(self._encode([t]) == [self._whole([t])[0]] for t in tried)
+
+    def _whole(self, chunks: list[str]) -> list[bytes]:
+        found = self.model.encode_batch_fast(chunks, add_special_tokens=False)
+        return [array("I", f.ids).tobytes() for f in found]  # 32 bits, little-endian as all hosts are
+
+    def _encode(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks, each a new one."""
+        out: list[bytes | None] = []
+        tokenize = self.model.model.tokenize
+        for chunk in chunks:
+            parts = PLAIN.fullmatch(chunk.lower()) if self.plain and chunk.isascii() else None
+            out.append(
+                array("I", [t.id for part in parts.groups() if part for t in tokenize(part)]).tobytes()
+                if parts
+                else None
+            )
+        rest = [at for at, ids in enumerate(out) if ids is None]
+        for at, ids in zip(rest, self._whole([chunks[at] for at in rest]), strict=True):
+            out[at] = ids
+        return out
 
-    def _encode(self, chunk: str) -> bytes:
-        return np.array(self.model.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; the texts are taken in blocks."""
+        out: list[bytes] = []
+        start, size = 0, 0
+        for at, text in enumerate(texts, 1):
+            size += len(text)
+            if size >= BLOCK_CHARS or at == len(texts):
+                out += self._block(texts[start:at])
+                start, size = at, 0
+        return out
 
-    def __call__(self, text: str) -> bytes:
-        chunks = text.replace("\n", " ").split(" ")
+    def _block(self, texts: list[str]) -> list[bytes]:
         seen = self.seen
-        try:
-            return b"".join([seen[chunk] for chunk in chunks])
-        except KeyError:
-            pass
+        new: list[str] = []
         out = []
-        for chunk in chunks:
-            ids = seen.get(chunk)
-            if ids is None:
-                ids = self._encode(chunk) if chunk else b""
-                if len(chunk) <= CHUNK and len(seen) < REMEMBERED:
-                    seen[chunk] = ids
-            out.append(ids)
-        return b"".join(out)
+        room = REMEMBERED - len(seen)
+        for text in texts:
+            chunks = text.replace("\n", " ").split(" ")
+            ids = list(map(seen.get, chunks))
+            if None in ids:
+                unknown = [at for at, found in enumerate(ids) if found is None]
+                fresh = list({chunks[at] for at in unknown})
+                seen.update(zip(fresh, self._encode(fresh), strict=True))
+                new += fresh
+                for at in unknown:
+                    ids[at] = seen[chunks[at]]
+            out.append(b"".join(ids))
+        for at, chunk in enumerate(new):
+            if at >= room or len(chunk) > CHUNK:
+                del seen[chunk]
+        return out
 
 
 _ENCODERS: dict[int, Encoder] = {}
@@ -110,8 +153,9 @@ def pieces(documents: DataFrame, source: bytes, capacity: int = CAPACITY) -> Dat
         for batch in batches:
             rows = []
             docs = batch.column("doc_id").to_pylist()
-            for doc, text in zip(docs, batch.column("text"), strict=True):
-                ids = encode(text.as_py() or "") + end
+            texts = [text or "" for text in batch.column("text").to_pylist()]
+            for doc, ids in zip(docs, encode(texts), strict=True):
+                ids += end
                 for number, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     length = len(part) // 4

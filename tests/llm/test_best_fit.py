@@ -96,16 +96,20 @@ def source():
     return packing.tokenizer_file(public_tokenizers.path("word_bpe_49k.json"))
 
 
-def test_chunks_have_the_ids_of_the_whole_text(source):
+def test_chunks_have_the_ids_of_the_whole_text(source, monkeypatch):
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_str(source.decode())
     encode = best_fit.Encoder(source)
     texts = ["", " ", "It's 1234 o'clock\n\n <|endoftext|>x <|startoftext|>", "á ́b ΑΣ Σ ΑΣ\n'S 'Re don't", "\x1c\x85a b　c", "x" * 500]
     texts += ["".join(f" {chr(c)}a{chr(c)} {chr(c)}\n" for c in range(at, at + 64) if not 0xD800 <= c < 0xE000) for at in range(0, 0x30000, 64)]
-    for _ in range(2):  # anew, then remembered
-        for text in texts:
-            assert np.frombuffer(encode(text), "<u4").tolist() == model.encode(text, add_special_tokens=False).ids
+    assert encode.plain
+    want = [model.encode(text, add_special_tokens=False).ids for text in texts]
+    for block, most in ((1 << 23, 400_000), (100, 400_000), (1 << 12, 500)):  # one block, many; a full memory
+        monkeypatch.setattr(best_fit, "BLOCK_CHARS", block)
+        monkeypatch.setattr(best_fit, "REMEMBERED", most)
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in encode(texts)] == want
+        assert not any(len(chunk) > best_fit.CHUNK for chunk in encode.seen)
 
 
 def test_every_token_is_packed_once(spark, source, tables):
