@@ -6,6 +6,7 @@ projections and joins, then calls the library. `oracles` holds the same answers
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable
 
@@ -532,11 +533,14 @@ def replies(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def known_urls(spark: SparkSession, folder: str) -> DataFrame:
-    """State of the English and French pages, two observations each."""
+EN_FR = "url LIKE '%/en/%' OR url LIKE '%/fr/%'"
+
+
+def known_urls(spark: SparkSession, folder: str, known: str = EN_FR) -> DataFrame:
+    """State of some pages, the English and French ones unless told otherwise: two observations each."""
     return (
         table(spark, folder, "pages")
-        .filter("url LIKE '%/en/%' OR url LIKE '%/fr/%'")
+        .filter(known)
         .selectExpr(
             "url",
             "explode(array(named_struct('etag', 'old', 'last_modified', 'day 9', 'last_seen', '99'),"
@@ -548,7 +552,7 @@ def known_urls(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def latest_state(spark: SparkSession, folder: str) -> DataFrame:
-    return state.latest_state(known_urls(spark, folder)).drop("version")
+    return state.latest_state(known_urls(spark, folder, "true")).drop("version")
 
 
 def changed_pages(spark: SparkSession, folder: str) -> DataFrame:
@@ -845,15 +849,23 @@ def silver_sink(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def csv_sink(spark: SparkSession, folder: str) -> DataFrame:
-    """Festivals exported twice on one day and read back: the second export replaces the first."""
+    """All types exported twice on one day and read back: the second export replaces the first."""
     accepted = validate.accepted(validated_customers(spark, folder))
     path = scratch(spark, "csv")
     for run_id in ("run-20240131T000000", "run-20240131T120000"):
-        tables.write_csv(accepted, path, run_id)
+        folders = tables.write_csv(accepted, path, run_id)
+    names = ["title", "start", "city", "price_text", "emails", "images", "time_slots"]
     read = spark.read.option("header", True).option("escape", '"')
-    return read.csv(f"{path}/2024-01-31/festivals").select(
-        "title", "start", "city", "price_text", "emails", "images", "time_slots"
-    )
+    exports = []
+    for written in folders:
+        rows = read.csv(written)
+        exports.append(
+            rows.select(
+                F.lit(written.rsplit("/", 1)[-1]).alias("entity_type"),
+                *[F.col(n) if n in rows.columns else F.lit(None).cast("string").alias(n) for n in names],
+            )
+        )
+    return functools.reduce(DataFrame.unionByName, exports)
 
 
 def quarantine_sink(spark: SparkSession, folder: str) -> DataFrame:

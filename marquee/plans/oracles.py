@@ -402,7 +402,10 @@ WITH T AS (SELECT page_id, url, TIMESTAMP '2024-01-01 00:00:00' + to_minutes(pag
 SELECT page_id, sha256(url) AS url_hash, strftime(t, '%Y%m%dT%H%M%S') AS snapshot,
   strftime(t, '%Y-%m-%d') AS fetch_date
 FROM T""",
-    "latest_state": f"WITH {STATE} SELECT url, etag, last_modified, last_seen FROM KNOWN",
+    "latest_state": """
+SELECT url, CASE WHEN page_id % 2 = 0 THEN 'e' || (page_id % 5) ELSE '' END AS etag,
+  'day 1' AS last_modified, '100' AS last_seen
+FROM pages""",
     "changed_pages": f"WITH {STATE} SELECT page_id, url FROM SEEN WHERE NOT unchanged",
     "next_state": f"""WITH {STATE}
 SELECT url,
@@ -522,10 +525,10 @@ FROM KEPT""",
     "silver_sink": f"""WITH {EVENTS}
 SELECT title, start, source_id, 'US' AS country, 'events' AS entity_type, 'run-20240131' AS run_id FROM E""",
     "csv_sink": f"""WITH {CUSTOMERS}
-SELECT title, start, city, price_text, '["c' || c_custkey || '@example.com"]' AS emails,
-  '["x.jpg"]' AS images,
+SELECT entity_type, title, CASE WHEN entity_type <> 'sports' THEN start END AS start, city, price_text,
+  '["c' || c_custkey || '@example.com"]' AS emails, '["x.jpg"]' AS images,
   CASE WHEN no_slots THEN NULL ELSE '[{{"start":"2024-05-01","end":"2024-05-02"}}]' END AS time_slots
-FROM V WHERE len(reasons) = 0 AND entity_type = 'festivals'""",
+FROM V WHERE len(reasons) = 0""",
     "quarantine_sink": f"""WITH {CUSTOMERS}
 SELECT source_id, title, start, country, array_to_string(reasons, '; ') AS reasons
 FROM V WHERE len(reasons) > 0""",

@@ -47,11 +47,15 @@ def with_run_time(manifests: DataFrame) -> DataFrame:
 
 
 def read_reject_files(spark: SparkSession, path: str) -> DataFrame:
-    """Single-reject files ``reject_*.json``; the time comes from the name, else it is now."""
+    """Files or folders ``reject_*.json`` of one reject or an array of them in a file; the time comes
+    from the name, else it is now."""
     rejects = (
-        spark.read.schema(REJECT).option("multiLine", True).json(f"{path.rstrip('/')}/reject_*.json")
+        spark.read.schema(REJECT)
+        .option("multiLine", True)
+        .option("recursiveFileLookup", True)
+        .json(f"{path.rstrip('/')}/reject_*.json")
     )
-    stamp = _last_part(r".*_(\d{8}T\d{6}\d{1,6})\.json\z")
+    stamp = _last_part(r".*_(\d{8}T\d{6}\d{1,6})\.json(?:/.*)?\z")
     readable = F.regexp_replace(
         stamp, r"\A(\d{4})(\d\d)(\d\d)T(\d\d)(\d\d)(\d\d)(\d+)\z", "$1-$2-$3 $4:$5:$6.$7"
     )

@@ -7,10 +7,11 @@ import pytest
 import __spark_entry__ as entry
 
 duckdb = pytest.importorskip("duckdb")
-from marquee.plans import catalog  # noqa: E402
+from marquee.plans import catalog, flows  # noqa: E402
 
-QUERIES = {name: query for name, query in entry.queries().items() if name in catalog.QUERIES}
-ORACLES = {name: sql for name, sql in entry.oracle_sql().items() if name in catalog.QUERIES}
+OWN = catalog.QUERIES | flows.QUERIES
+QUERIES = {name: query for name, query in entry.queries().items() if name in OWN}
+ORACLES = {name: sql for name, sql in entry.oracle_sql().items() if name in OWN}
 NAMES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
