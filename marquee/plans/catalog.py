@@ -926,24 +926,33 @@ def stream_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_stateful_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """The same by Structured Streaming state: kept keys."""
+    """The same by Structured Streaming state, in three arrivals with a restart before each.
+
+    Every third event is in an arrival, so two of three come after later ones; some have no date, and
+    their order is a struct.
+    """
     configured(spark).conf.set(
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
-    listings = event_listings(spark, folder).withColumn("fetched_at", F.col("ts").cast("timestamp"))
+    listings = event_listings(spark, folder).withColumns({
+        "start": F.expr("CASE WHEN event_id % 50 <> 0 THEN start END"),
+        "seq": F.expr("named_struct('part', event_id div 1000, 'no', event_id)"),
+    })
     root = scratch(spark, "stateful")
-    listings.write.parquet(f"{root}/in")
-    stream = spark.readStream.schema(listings.schema).parquet(f"{root}/in")
-    kept = stream_dedup.near_stream(stream).select("dedup_key", "source_id")
-    query = (
-        kept.writeStream.format("parquet")
-        .option("path", f"{root}/kept")
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    for number in range(3):
+        arrived = listings.filter(F.col("event_id") % 3 == number)
+        arrived.write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(listings.schema).parquet(f"{root}/in")
+        kept = stream_dedup.near_stream(stream).select("dedup_key", "source_id")
+        query = (
+            kept.writeStream.format("parquet")
+            .option("path", f"{root}/kept")
+            .option("checkpointLocation", f"{root}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
     return spark.read.parquet(f"{root}/kept").select("dedup_key", "source_id")
 
 

@@ -198,6 +198,16 @@ SELECT 'events' AS entity_type, dedup_key, arg_min(title, event_id) AS title,
 FROM X GROUP BY dedup_key"""
 )
 
+# Every fiftieth event has no date; its key is that of the first day of 1970 and compares with itself.
+_SOME_UNDATED = EVENTS.replace(
+    "strftime(ts, '%Y-%m-%d') || 'T00:00:00+00:00' AS bucket",
+    "CASE WHEN event_id % 50 = 0 THEN '1970-01-01' ELSE strftime(ts, '%Y-%m-%d') END"
+    " || 'T00:00:00+00:00' AS bucket",
+).replace(
+    "date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS day",
+    "CASE WHEN event_id % 50 = 0 THEN 0 ELSE date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) END AS day",
+)
+
 _KEPT_EVENTS = f"WITH RECURSIVE {EVENTS},{greedy('K', 'event_id')}"
 _KEPT_LISTINGS = f"WITH RECURSIVE {LISTINGS},{greedy('A', 'seq')}"
 
@@ -538,5 +548,6 @@ SELECT sha256(url) AS url_hash,
   sha256(html) AS html_hash, CAST(page_id AS VARCHAR) AS page_id
 FROM pages""",
     "stream_near_dedup": f"{_KEPT_EVENTS} SELECT event_id, dedup_key FROM KEPT",
-    "stream_stateful_dedup": f"{_KEPT_EVENTS} SELECT dedup_key, source_id FROM KEPT",
+    "stream_stateful_dedup": f"""WITH RECURSIVE {_SOME_UNDATED},{greedy("K", "event_id % 3, event_id")}
+SELECT dedup_key, source_id FROM KEPT""",
 }

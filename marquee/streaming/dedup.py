@@ -1,7 +1,13 @@
 """Deduplication of an entity stream with state kept by Structured Streaming.
 
-The exact step drops repeated keys, which spreads a busy identity over its days; the near step
-then keeps, per identity, the set of kept days.
+The exact step passes the first row of a key, which spreads a busy identity over its days; the near
+step then keeps, per identity, the set of kept days.
+
+Both states have an end: an entry that no row has touched for ``ttl_ms`` is forgotten, by the clock of
+the stream's arrivals and not by dates in the rows. So no row is lost for being late, as it would be
+behind a watermark; what is let in again is a duplicate that comes later than that. Without
+``ttl_ms`` nothing is forgotten. A stream with ``ttl_ms`` runs until it is stopped, as time goes on
+without rows too: give it a trigger by time, not one that ends when the input does.
 """
 
 from __future__ import annotations
@@ -19,16 +25,39 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from marquee.operators.dedup import with_keys
 
 
-def exact_stream(entities: DataFrame) -> DataFrame:
-    """First row per deduplication key, however late it comes: keys are remembered without end."""
-    return with_keys(entities).dropDuplicates(["dedup_key", "dated"])
-
-
 def _place(seq):
     """Arrival order of a row: a number, a text, or a struct of those."""
     return tuple(seq.values()) if isinstance(seq, dict) else tuple(seq) if isinstance(seq, (tuple, list)) else (seq,)
 
 
+class _FirstOfKey(StatefulProcessor):
+    """Passes the first row of a key that has passed none yet, one chunk of rows in memory."""
+
+    def __init__(self, ttl_ms: int | None) -> None:
+        self._ttl = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        mark = T.StructType([T.StructField("passed", T.BooleanType())])
+        self._passed = handle.getValueState("passed", mark, self._ttl)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        first = None
+        known = self._passed.exists()
+        for chunk in rows:
+            if known or not len(chunk):
+                continue
+            at = min(range(len(chunk)), key=lambda i: _place(chunk["seq"].iloc[i]))
+            if first is None or _place(chunk["seq"].iloc[at]) < _place(first["seq"].iloc[0]):
+                first = chunk.iloc[[at]]
+        if known or first is not None:
+            self._passed.update((True,))  # a key that comes again is remembered on
+        if first is not None:
+            yield first
+
+    def close(self) -> None:
+        pass
+
+
 class _KeptDays(StatefulProcessor):
     """Keeps a row when no kept day of its identity is the same day or one next to it."""
 
@@ -44,12 +73,13 @@ class _KeptDays(StatefulProcessor):
         # the exact step leaves two rows per day at most, so the group is small
         batch = pd.concat(list(rows), ignore_index=True)
         batch = batch.iloc[sorted(range(len(batch)), key=lambda at: _place(batch["seq"].iloc[at]))]
-        kept = {day[0] for day in self._kept.keys()}
         chosen = []
-        for at, (day, dated) in enumerate(zip(batch["day"], batch["dated"])):
+        for at, (day, dated) in enumerate(zip(batch["day"], batch["dated"], strict=True)):
+            if pd.isna(day):  # text that is no date: its own key decides
+                chosen.append(at)
+                continue
             near = (day, day - 1, day + 1) if dated else (day,)
-            if not any(int(d) in kept for d in near):
-                kept.add(int(day))
+            if not any(self._kept.containsKey((int(d),)) for d in near):
                 self._kept.updateValue((int(day),), (True,))
                 chosen.append(at)
         yield batch.iloc[chosen]
@@ -58,20 +88,27 @@ class _KeptDays(StatefulProcessor):
         pass
 
 
-def near_stream(entities: DataFrame, ttl_ms: int | None = None) -> DataFrame:
-    """Rows of an entity stream that duplicate no earlier row, with their key columns.
-
-    Arrival order is the order of micro-batches, and of ``seq`` (a number, a text, or a struct)
-    within one. No row is lost for being late. ``ttl_ms`` bounds how long a kept day is remembered,
-    after which a near duplicate is let in again. Use `incremental.dedup_batch` where copies of a
-    row in one micro-batch may come in great numbers: it reduces them before the shuffle.
-    """
+def _stateful(entities: DataFrame, keys: list[str], processor: StatefulProcessor, ttl_ms: int | None):
     # the process that sets the state up on the driver cannot import this package: send the class
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    unique = exact_stream(entities)
-    return unique.groupBy("identity").transformWithStateInPandas(
-        statefulProcessor=_KeptDays(ttl_ms),
-        outputStructType=unique.schema,
+    return entities.groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=processor,
+        outputStructType=entities.schema,
         outputMode="Append",
         timeMode="None" if ttl_ms is None else "ProcessingTime",
     )
+
+
+def exact_stream(entities: DataFrame, ttl_ms: int | None = None) -> DataFrame:
+    """First row per deduplication key, however late it comes."""
+    return _stateful(with_keys(entities), ["dedup_key", "dated"], _FirstOfKey(ttl_ms), ttl_ms)
+
+
+def near_stream(entities: DataFrame, ttl_ms: int | None = None) -> DataFrame:
+    """Rows of an entity stream that duplicate no earlier row, with their key columns.
+
+    Arrival order is the order of micro-batches, and of ``seq`` (a number, a text, or a struct)
+    within one. Use `incremental.dedup_batch` where copies of a row in one micro-batch may come in
+    great numbers: it reduces them before the shuffle.
+    """
+    return _stateful(exact_stream(entities, ttl_ms), ["identity"], _KeptDays(ttl_ms), ttl_ms)
