@@ -129,7 +129,7 @@ class GoldTable:
     start over from what the other one wrote.
     """
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 32) -> None:
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16) -> None:
         self.spark, self.root = spark, root.rstrip("/")
 
         def place() -> Column:
