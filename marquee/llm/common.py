@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 
 import numpy as np
 import pandas as pd
@@ -82,3 +83,31 @@ def md5_fraction(*parts: Column | str) -> Column:
     """A number in [0, 1) from the first 8 hex digits of an md5, the same in any SQL engine."""
     text = F.concat_ws("|", *[p if isinstance(p, Column) else F.lit(p) for p in parts])
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") / F.lit(4294967296.0)
+
+
+DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def keeps_columns(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For a stage from documents to documents: further columns, whatever their names, travel in one
+    column of a name drawn for the call and come back as they were."""
+
+    @wraps(stage)
+    def run(documents: DataFrame, *args, **options) -> DataFrame:
+        own = [name for name in documents.columns if name not in DOCUMENT]
+        if not own:
+            return stage(documents, *args, **options)
+        box = f"box_{uuid.uuid4().hex}"
+        boxed = documents.select(
+            *[name for name in documents.columns if name in DOCUMENT],
+            F.struct(*[F.col(f"`{name}`") for name in own]).alias(box),
+        )
+        out = stage(boxed, *args, **options)
+        return out.select(
+            *[
+                F.col(f"{box}.`{name}`").alias(name) if name in own else F.col(name)
+                for name in documents.columns
+            ]
+        )
+
+    return run

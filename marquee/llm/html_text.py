@@ -56,9 +56,8 @@ ENDS = {
 }
 SCOPE = {"table", "td", "th", "caption", "html"}  # an open paragraph is not sought beyond
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S
-)
+MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<([!?])|<(/?)([a-zA-Z][^\s/>]*)", re.S)
+TAG_SIGN = re.compile(r"[\"'>]")
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 SHOWN = re.compile(r"(display|visibility)\s*:\s*([a-z-]+)(\s*!\s*important)?", re.I)
@@ -107,6 +106,34 @@ def heed(sheet: str, declared: dict[str, dict[str, tuple[bool, bool]]]) -> None:
                     of[name.lower()] = (hides, bool(important))
 
 
+class Tags:
+    """Ends of tags, in one pass over a page however it is broken.
+
+    A quoted value may hold the sign that ends a tag. Where the quotes of a page leave a tag without
+    an end, they are not heeded from there on; where no such sign is left, no tag is.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.quoted = True
+
+    def end(self, at: int) -> int:
+        """The place of the sign that ends the tag whose name ends at ``at``, -1 if there is none."""
+        first = at
+        while self.quoted:
+            sign = TAG_SIGN.search(self.page, at)
+            if sign is None:
+                self.quoted = False
+            elif sign.group() == ">":
+                return sign.start()
+            else:
+                closing = self.page.find(sign.group(), sign.end())
+                if closing < 0:
+                    self.quoted = False
+                at = closing + 1
+        return self.page.find(">", first)
+
+
 class Node:
     __slots__ = ("tag", "attributes", "children", "shown")
 
@@ -145,16 +172,23 @@ def build(page: str) -> Node:
                 close_head()
             add(html.unescape(value) if "&" in value else value)
 
+    tags = Tags(page)
     while True:
-        match = TOKEN.search(page, at)
-        if not match:
+        match = MARKUP.search(page, at)
+        sign, ending, name = match.groups() if match else (None, None, None)
+        end = -1
+        if sign:
+            end = page.find(">", match.end())
+        elif name:
+            end = tags.end(match.end())
+        if not match or (sign or name) and end < 0:
             text(page[at:])
             return root
         text(page[at : match.start()])
-        at = match.end()
-        ending, name, rest = match.groups()
         if name is None:
+            at = end + 1 if sign else match.end()
             continue
+        at, rest = end + 1, page[match.end() : end]
         tag = name.lower()
         if ending:
             for index in range(len(stack) - 1, 0, -1) if opened[tag] else ():

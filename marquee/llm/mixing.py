@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.common import md5_fraction, saved
+from marquee.llm.common import keeps_columns, md5_fraction, saved
 
 WEIGHTS = (1, 2, 3)
 MOST = 3
@@ -140,6 +140,7 @@ def _running(counts: DataFrame) -> DataFrame:
     )
 
 
+@keeps_columns
 def mixed(documents: DataFrame, seed: str = SEED) -> DataFrame:
     """The mixture itself: every row of ``documents`` as often as its copies, all columns kept.
 

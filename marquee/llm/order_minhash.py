@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.common import map_groups, saved, spread
+from marquee.llm.common import keeps_columns, map_groups, saved, spread
 from marquee.llm.components import components
 from marquee.llm.words import occurrences, shingles, word_numbers
 
@@ -245,6 +245,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     return out.select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
+@keeps_columns
 def deduplicated(documents: DataFrame) -> DataFrame:
     """The rows of ``documents`` that stay: one of each group, every row with null text."""
     kept = groups(documents).where(F.col("doc_id").eqNullSafe(F.col("class_id")))

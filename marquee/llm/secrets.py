@@ -36,6 +36,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from marquee.llm.common import keeps_columns
+
 AROUND = 48  # characters of context on either side
 THRESHOLD = 0.5
 FINDINGS = 6_000  # labelled findings made by rule
@@ -107,7 +109,7 @@ def features() -> dict[str, Column]:
         "consonants": count("(?i)[bcdfghjklmnpqrstvwxz]{4,}") / length,
         "distinct": distinct / F.least(length, F.lit(40.0)),
         "runs": count(r"(.)\1{2,}"),
-        "known_prefix": F.when(text.rlike(r"^(?:AKIA|ASIA|gh[pousr]_|sk_live_|xox[abpr]-|AIza)"), 1.0).otherwise(0.0),
+        "known_prefix": F.when(text.rlike(r"^(?:AKIA|ASIA|gh[pousr]_|sk_live_|sk-|xox[abprs]-|AIza|eyJ)"), 1.0).otherwise(0.0),
         "covered": covered / length,
         "path_harmless": F.when(path.rlike(PATH_HARMLESS), 1.0).otherwise(0.0),
         "path_config": F.when(path.rlike(PATH_CONFIG), 1.0).otherwise(0.0),
@@ -143,9 +145,10 @@ def labelled_findings(spark: SparkSession, size: int = FINDINGS) -> DataFrame:
     password = F.when(row % 3 == 0, F.concat(F.substring(leet, 1, 9), sign, F.substring(based, 1, 3), F.lit("!"))).when(
         row % 3 == 1, F.concat(F.substring(based, 1, 4), sign, F.substring(letters, 5, 4), pick("m", list("!#&$%+")), F.substring(hexed, 1, 2))
     ).otherwise(F.concat(F.substring(leet, 1, 8), sign))
+    joined = F.concat(pick("v", WORDS.split()), pick("u", WORDS.split()), pick("t", WORDS.split()), pick("w2", ["ation", "ungen", "ements", "alization", "schaften", "lichkeit", "schtz"]))
     names = ["NAME", "TOKEN", "PASSWORD", "API_KEY", "SECRET", "VALUE"]
-    secret = pick("s", ["hex40", "hex", "base", "url", "akia", "ghp", "sk", "letters", "akia letters", "password", "login"])
-    lure = pick("l", ["hash", "uuid", "words", "number", "path", "filler", "inline", "long", "plain", "identifier", "placeholder", "joined"])
+    secret = pick("s", ["hex40", "hex", "base", "url", "akia", "ghp", "sk", "letters", "akia letters", "password", "login", "slack", "web token", "word digits"])
+    lure = pick("l", ["hash", "uuid", "words", "number", "path", "filler", "inline", "long", "plain", "identifier", "placeholder", "joined", "capitals", "capitals"])
     good = row % 2 == 0
     candidate = (
         F.when(good & (secret == "hex40"), F.substring(hexed, 1, 40))
@@ -156,6 +159,9 @@ def labelled_findings(spark: SparkSession, size: int = FINDINGS) -> DataFrame:
         .when(good & (secret == "ghp"), F.concat(F.lit("ghp_"), F.expr("substring(replace(replace(based, '+', 'p'), '/', 'q'), 1, 36)")))
         .when(good & (secret == "letters"), F.expr("substring(translate(based, '0123456789+/', 'qWxZvKjBgYtR'), 1, length)"))
         .when(good & (secret == "akia letters"), F.concat(F.lit("AKIA"), F.upper(F.substring(letters, 1, 16))))
+        .when(good & (secret == "slack"), F.concat(F.when(row % 3 == 0, F.lit("sk-proj-")).otherwise(F.concat(F.lit("xoxb-"), (row * 7919 % 10**9 + 10**11).cast("string"), F.lit("-"))), F.expr("substring(urls, 1, 32)")))
+        .when(good & (secret == "web token"), F.concat(F.lit("eyJ"), F.expr("substring(urls, 1, length)")))
+        .when(good & (secret == "word digits"), F.concat(word, F.lower(F.substring(letters, 1, 2)), (row % 997).cast("string")))
         .when(good & secret.isin("password", "login"), F.when(secret == "password", password).otherwise(F.translate(password, "@", "!")))
         .when(good, F.concat(F.lit("sk_live_"), F.expr("substring(replace(replace(based, '+', 'p'), '/', 'q'), 1, 24)")))
         .when(lure == "hash", F.expr("substring(hexed, 1, if(id % 4 = 1, 40, 64))"))
@@ -168,7 +174,8 @@ def labelled_findings(spark: SparkSession, size: int = FINDINGS) -> DataFrame:
         .when(lure == "plain", F.when(row % 4 == 1, word).when(row % 8 == 3, F.initcap(word)).otherwise(F.concat_ws(" ", F.initcap(word), pick("v", WORDS.split()), pick("u", WORDS.split()))))
         .when(lure == "identifier", F.when(row % 4 == 1, F.concat_ws("_", pick("v", WORDS.split()), pick("u", WORDS.split()), word, pick("t", WORDS.split()))).otherwise(F.replace(F.initcap(F.concat_ws(" ", pick("v", WORDS.split()), pick("u", WORDS.split()), word, pick("t", WORDS.split()))), F.lit(" "))))
         .when(lure == "placeholder", F.when(row % 8 == 1, F.concat(F.lit("${"), pick("v", names), F.lit("}"))).when(row % 8 == 3, F.concat(F.lit("<your-"), word, F.lit(">"))).when(row % 8 == 5, pick("v", ["None", "null", "true", "false", "********", "xxxxxxxx", "os.environ", "getpass()", "10", "3600"])).otherwise(F.repeat(pick("f", ["-", "_", "/", "+-"]), 24)))
-        .when(lure == "joined", F.concat(pick("v", WORDS.split()), pick("u", WORDS.split()), pick("t", WORDS.split()), pick("w2", ["ation", "ungen", "ements", "alization", "schaften"])))
+        .when(lure == "capitals", F.upper(F.concat(pick("v", WORDS.split()), F.when(row % 3 == 0, F.lit("-")).otherwise(""), pick("u", WORDS.split()), pick("t", WORDS.split()), pick("w2", ["ation", "ungen", "keit", "alization", "schaften", "s"]))))
+        .when(lure == "joined", F.when(row % 4 == 1, F.initcap(joined)).otherwise(joined))
         .otherwise(F.concat(word, pick("v", WORDS.split()), pick("u", WORDS.split()), F.lit("2"), word))
     )
     said = pick("b", ["api_key = ", "token = ", "secret: ", "password=", "auth_token: ", "access_key = ", "credentials ", "bearer "])
@@ -177,9 +184,11 @@ def labelled_findings(spark: SparkSession, size: int = FINDINGS) -> DataFrame:
         lure == "inline", pick("q", ["https://img.example.com/", "http://www.example.org/p/", "https://cdn.example.net/static/"])
     ).otherwise(plain)
     said = F.when(secret == "login", pick("b", ["postgres://app:", "https://user:", "mysql://root:", "ftp://anna:", "amqp://a.b:"])).when(
-        secret == "password", pick("b", ["password = ", "passwd: ", "DB_PASSWORD=", "secret: ", "userPassword: ", "token="])
+        secret.isin("password", "word digits"), pick("b", ["password = ", "passwd: ", "DB_PASSWORD=", "secret: ", "userPassword: ", "token="])
     ).when(secret.isin("letters", "akia letters") & (row % 3 == 0), pick("b", ["key=", "key: ", "KEY = ", "access key id: "])).otherwise(said)
-    plain = F.when(lure.isin("plain", "placeholder"), pick("q", ["author: ", "password: ", "token = ", "secret: ", "private: ", "auth=", "API_KEY=", "tokens: "])).otherwise(plain)
+    plain = F.when(lure.isin("plain", "placeholder") | ((lure == "capitals") & (row % 4 == 1)), pick("q", ["author: ", "password: ", "token = ", "secret: ", "private: ", "auth=", "API_KEY=", "tokens: "])).otherwise(plain)
+    bare = secret.isin("base", "url", "slack", "web token") & (row % 3 == 1)  # nothing around tells
+    said = F.when(bare, pick("b", ["use ", "see ", "then ", "and the ", "it was ", "here: "])).otherwise(said)
     quote = pick("o", ['"', "'", "", '"'])
     quoted = F.when(good & (secret == "login"), "").when(good, quote).otherwise(F.when(lure == "inline", "").otherwise(pick("o", ["", "", '"', ""])))
     path = F.when(
@@ -254,6 +263,7 @@ def findings(documents: DataFrame, model: PipelineModel) -> DataFrame:
     )
 
 
+@keeps_columns
 def redacted(documents: DataFrame, model: PipelineModel) -> DataFrame:
     """``documents`` with every secret replaced by ``MARK`` and ``n_chars`` counted anew.
 

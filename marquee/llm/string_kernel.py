@@ -12,7 +12,8 @@ alone.
 
 Cases: null text, or text without a letter: ``und`` with score 0; no learned language at all
 likewise; ties go to the language first by name; repeated rows are alike; an empty table gives no
-rows; extra columns are ignored; every whole text is read, in slices.
+rows; extra columns are ignored by ``predicted`` and kept by ``recognised``, whatever their names;
+every whole text is read, in slices.
 """
 
 from __future__ import annotations
@@ -21,10 +22,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from marquee.llm.common import spread
+from marquee.llm.common import keeps_columns, spread
 from marquee.llm.ngrams import presence
 
 LENGTHS = (1, 2, 3, 4)
@@ -104,50 +107,53 @@ def predicted(documents: DataFrame, learnable, extra: tuple[str, ...] = ("doc_id
     schema = documents.select(*extra).schema
     block = 64
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def judged(texts: list[str | None], scratch: np.ndarray, matrix: np.ndarray) -> tuple[list, list]:
         languages, weights, bias = model.value
+        names, scores = [], []
+        for start in range(0, len(texts), block):
+            part = texts[start : start + block]
+            ids = [presence(t, LENGTHS, BITS, scratch) if t else () for t in part]
+            for row, found in enumerate(ids):
+                if len(found):
+                    matrix[row, found] = 1 / np.sqrt(len(found))
+            values = matrix[: len(part)] @ weights + bias
+            for row, found in enumerate(ids):
+                if len(found):
+                    matrix[row, found] = 0
+                # a text of spaces alone has the n-grams of spaces only
+                known = len(found) > len(LENGTHS) or bool(part[row]) and any(map(str.isalpha, part[row]))
+                if not known or not languages:
+                    names.append(UNKNOWN)
+                    scores.append(0.0)
+                    continue
+                each = np.maximum(values[row], 0)
+                best = int(values[row].argmax())
+                names.append(languages[best])
+                scores.append(float(min(1.0, each[best] / each.sum())) if each.sum() > 0 else 0.0)
+        return names, scores
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scratch = np.zeros(1 << BITS, np.uint8)
         matrix = np.zeros((block, 1 << BITS), np.float32)
         for batch in batches:
-            names, scores = [], []
-            texts = batch["_read"].tolist()
-            for start in range(0, len(texts), block):
-                part = texts[start : start + block]
-                ids = [presence(t, LENGTHS, BITS, scratch) if t else () for t in part]
-                for row, found in enumerate(ids):
-                    if len(found):
-                        matrix[row, found] = 1 / np.sqrt(len(found))
-                values = matrix[: len(part)] @ weights + bias
-                for row, found in enumerate(ids):
-                    if len(found):
-                        matrix[row, found] = 0
-                    # a text of spaces alone has the n-grams of spaces only
-                    known = len(found) > len(LENGTHS) or bool(part[row]) and any(map(str.isalpha, part[row]))
-                    if not known or not languages:
-                        names.append(UNKNOWN)
-                        scores.append(0.0)
-                        continue
-                    each = np.maximum(values[row], 0)
-                    best = int(values[row].argmax())
-                    names.append(languages[best])
-                    scores.append(float(min(1.0, each[best] / each.sum())) if each.sum() > 0 else 0.0)
-            out = batch.drop(columns="_read")
-            out["lang_pred"], out["score"] = names, scores
-            yield out
-
-    # columns travel as they are; integers as text, as pandas would turn those with nulls into floats
-    longs = [f.name for f in schema if f.dataType.typeName() in ("long", "integer")]
-    sent = documents.select(
-        *[F.col(c).cast("string").alias(c) if c in longs else F.col(c) for c in extra],
-        F.col("text").alias("_read"),
-    )
-    fields = ", ".join(
-        f"`{f.name}` {'string' if f.name in longs else f.dataType.simpleString()}" for f in schema
-    )
-    out = spread(sent).mapInPandas(run, f"{fields}, lang_pred string, score double")
-    return out.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema], "lang_pred", "score"
-    )
+            names, scores = judged(batch.column("_read").to_pylist(), scratch, matrix)
+            kept = [batch.column(f.name) for f in schema]  # as they came
+            yield pa.RecordBatch.from_arrays(
+                [*kept, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                names=[*schema.names, "lang_pred", "score"],
+            )
+
+    sent = documents.select(*[F.col(c) for c in extra], F.col("text").alias("_read"))
+    fields = StructType([*schema, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return spread(sent).mapInArrow(run, fields)
+
+
+@keeps_columns
+def recognised(documents: DataFrame) -> DataFrame:
+    """The rows of ``documents`` whose text is in a language."""
+    columns = documents.columns
+    out = predicted(documents, not_held_out(), tuple(columns))
+    return out.where(F.col("lang_pred") != UNKNOWN).select(*columns)
 
 
 def not_held_out():
