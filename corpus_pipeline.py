@@ -15,7 +15,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from marquee.llm import mixing, order_minhash, packing, queries, secrets, string_kernel
 from marquee.session import checkpoint_dir, ship_package
@@ -23,9 +22,7 @@ from marquee.session import checkpoint_dir, ship_package
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    columns = tuple(docs.columns)
-    out = string_kernel.predicted(docs, string_kernel.not_held_out(), columns)
-    return out.where(F.col("lang_pred") != string_kernel.UNKNOWN).select(*[f"`{c}`" for c in columns])
+    return string_kernel.recognised(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
