@@ -366,7 +366,7 @@ def datetime_norm(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def slots(spark: SparkSession, folder: str) -> DataFrame:
-    lines = table(spark, folder, "lineitem").selectExpr(
+    lines = spread(table(spark, folder, "lineitem"), "l_orderkey").selectExpr(
         "l_orderkey",
         "l_linenumber",
         """CASE l_linenumber % 3

@@ -18,6 +18,7 @@ from marquee.plans.catalog import (
     order_pages,
     order_rule,
     replies,
+    rule,
     scratch,
     site_pages,
     supplier_registry,
@@ -308,6 +309,23 @@ def page_items(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(KNOWN["page_title"])
+def bucketed_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Headings of visited pages, read from the bucketed bronze table bucket by bucket."""
+    path, name = scratch(spark, "bronze-table"), f"bronze_{uuid.uuid4().hex}"
+    pages = table(spark, folder, "pages").selectExpr(
+        "url", "html", "CAST(map() AS MAP<STRING, STRING>) AS headers",
+        "TIMESTAMP'2024-01-01 00:00:00' + make_dt_interval(0, 0, page_id * 7) AS fetched_at",
+    )
+    tables.write_bronze_table(pages, name, path, buckets=16)
+    spark.sql(f"DROP TABLE {name}")  # the files stay; a later session names them again
+    bronze = page_source.bronze_table(spark, name, path, buckets=16)
+    visits = site_pages(spark, folder).drop("html")
+    heading = rule(spark, "site", list_item="article", fields={"title": "h1"})
+    found = rules.extract(visits.join(bronze.select("url", "html"), "url"), heading)
+    return found.select(F.col("seq.row_no").alias("page_id"), "title")
+
+
 # --- Files -------------------------------------------------------------------------------------
 
 

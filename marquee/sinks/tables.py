@@ -14,6 +14,8 @@ from marquee.sinks.history import STATE, UrlHistory
 from marquee.sinks.versions import Version, VersionedTable, bucket
 from marquee.sources.pages import with_bronze_columns
 
+BRONZE_BUCKETS = 200
+
 GOLD = T.StructType(
     [T.StructField(name, T.StringType()) for name in ("entity_type", "dedup_key", *GOLD_FIXED)]
     + [
@@ -41,6 +43,23 @@ def write_bronze(pages: DataFrame, path: str) -> None:
     with_bronze_columns(pages).write.mode("append").partitionBy("fetch_date").parquet(path)
 
 
+def write_bronze_table(pages: DataFrame, name: str, path: str, buckets: int = BRONZE_BUCKETS) -> None:
+    """Append snapshots to a table in buckets sorted by url, a folder per fetch day.
+
+    Pages joined by url are then read bucket by bucket: only the other side of the join moves. With
+    fewer buckets than shuffle partitions Spark may move both sides after all.
+    """
+    (
+        with_bronze_columns(pages)
+        .write.mode("append")
+        .partitionBy("fetch_date")
+        .bucketBy(buckets, "url")
+        .sortBy("url")
+        .option("path", path)
+        .saveAsTable(name)
+    )
+
+
 def write_silver(entities: DataFrame, path: str, run_id: str) -> None:
     """JSON lines per entity type and run; null fields are left out of a line."""
     columns = [name for name in ENTITY_COLUMNS if name in entities.columns]

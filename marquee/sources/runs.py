@@ -26,8 +26,11 @@ def read_manifests(spark: SparkSession, path: str) -> DataFrame:
         .load(f"{path.rstrip('/')}/run-*.json")
         .select("path", F.decode("content", "UTF-8").alias("value"))
     )
-    # a document starts with a brace at the start of a line: one per file, or one per line
-    each = files.select("path", F.explode(F.split("value", r"\n(?=\{)")).alias("document"))
+    # a document on every line, or one over the whole file
+    lines = F.filter(F.split("value", r"\r?\n"), lambda line: F.trim(line) != "")
+    by_line = F.forall(lines, lambda line: F.regexp_like(line, F.lit(r"\A\s*\{.*\}\s*\z")))
+    documents = F.when(by_line, lines).otherwise(F.array("value"))
+    each = files.select("path", F.explode(documents).alias("document"))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
     parsed = each.filter("trim(document) <> ''").select(
         "path", F.from_json("document", schema, options).alias("m")

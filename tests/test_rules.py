@@ -147,3 +147,57 @@ def test_attribute_operators(selector, found):
 def test_selectors_beyond_the_helper_are_refused(selector):
     with pytest.raises(ValueError):
         Page("<a>x</a>").select(selector)
+
+
+def test_page_join_from_buckets_moves_no_html(spark, tmp_path):
+    """Nothing is exchanged above the scan of a bucketed bronze table."""
+    from marquee.operators import extract
+    from marquee.sinks import tables
+    from marquee.sources import pages as page_source
+
+    visits = pages(spark).drop("html")
+    shown = pages(spark).selectExpr(
+        "url", "html", "CAST(map() AS MAP<STRING, STRING>) AS headers", "TIMESTAMP'2024-01-01 00:00:00' AS fetched_at"
+    )
+    path = str(tmp_path / "bronze")
+    tables.write_bronze_table(shown, "bronze_of_a_test", path, buckets=4)
+    tables.write_bronze_table(shown.withColumn("url", F.lit("other")), "bronze_of_a_test", path, buckets=4)
+    spark.sql("DROP TABLE bronze_of_a_test")
+    bronze = page_source.bronze_table(spark, "bronze_of_a_test", path, buckets=4)
+    spec = spark.createDataFrame([rule(fields={"title": "h3"})], RULES)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        read = extract.read(visits.join(bronze.select("url", "html"), "url"), spec, "hrefs", "problem")
+        assert len(read.collect()[0]["items"]) == 2 and bronze.count() == 2
+        lines = read._jdf.queryExecution().executedPlan().toString().splitlines()
+        scan = next(i for i, line in enumerate(lines) if "Bucketed: true" in line)
+        depth, above = len(lines[scan]) - len(lines[scan].lstrip(" :+-*")), []
+        for line in reversed(lines[:scan]):
+            at = len(line) - len(line.lstrip(" :+-*"))
+            if at < depth:
+                above.append(line)
+                depth = at
+        assert any("SortMergeJoin" in line for line in above) and not any("Exchange" in line for line in above)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE bronze_of_a_test")
+
+
+def test_rules_that_are_not_understood(spark):
+    table = spark.createDataFrame(
+        [rule(), rule(rule_path="next", next_selector="a:nth-child(2)"), rule(rule_path="item", list_item=""),
+         rule(rule_path="field", fields={"title": "h3 + p", "start": "time"})], RULES,
+    )
+    got = {r.rule_path: r.problem for r in rules.checked(table).collect()}
+    assert got["r"] is None and got["next"].startswith("next_selector: ") and got["item"].startswith("list_item: ")
+    assert got["field"].startswith("title: ") and "start" not in got["field"]
+
+
+def test_one_reading_keeps_errors_apart(spark):
+    """A next rule that fails costs the links; the items stand, and so do other pages."""
+    table = spark.createDataFrame([rule(next_selector="a:nth-child(2)", max_pages=3)], RULES)
+    ruled = rules.with_rules(pages(spark).unionByName(pages(spark, None)), table)
+    got = rules.read_pages(ruled, ["url"], "items", "hrefs", "problem").collect()
+    read, none = sorted(got, key=lambda r: len(r["items"]), reverse=True)
+    assert len(read["items"]) == 2 and read.hrefs is None and read.problem.startswith("links: unsupported")
+    assert none["items"] == [] and none.hrefs == [] and none.problem is None

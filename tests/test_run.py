@@ -226,8 +226,13 @@ def test_manifest_files(spark, tmp_path):
         '{"run_id": "x", "source_stats": {"b": {"rows_new": 5, "rows_updated": 1, "rejects": 0}}}'
     )
     (tmp_path / "run-20250101T000000.json").write_text("{broken")
+    # a document whose nested objects begin a line is one document
+    (tmp_path / "run-odd-20230101T000000.json").write_text(
+        '{"run_id": "y", "source_stats":\n{"c":\n{"rows_new": 2}\n},\n"paths":\n{}\n}\n'
+    )
     manifests = runs.read_manifests(spark, str(tmp_path))
-    assert manifests.count() == 2
+    assert manifests.count() == 3
+    manifests = manifests.filter("run_id <> 'y'")
     got = {r.name: r.run_time for r in manifests.collect()}
     assert got == {
         "run-20240101T000000.json": datetime(2024, 1, 1),

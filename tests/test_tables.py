@@ -123,7 +123,22 @@ def test_first_prefix_in_registry_order_wins(spark):
         "http://b.org/": (False, None), "http://c": (False, None), "": (False, None),
     }
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "SortAggregate" not in plan
+
+
+def test_prefixes_that_end_inside_a_host(spark):
+    sources = spark.createDataFrame(
+        [(5, "any", "http"), (3, "co", "https://e.co"), (4, "path", "https://e.com/a"), (2, "query", "https://q?"),
+         (1, "none", None), (6, "empty", "")],
+        "row_no long, source_id string, base_url string",
+    )
+    urls = ["https://e.com/a/1", "https://e.co/", "https://e.org", "https://q?x", "https://q/?x", "ftp://e.co", "http", ""]
+    frame = spark.createDataFrame([(u,) for u in urls * 2], "url string")
+    got = {r.url: r.source_id for r in prefix.first_prefix_match(frame, sources).collect()}
+    assert got == {
+        "https://e.com/a/1": "co", "https://e.co/": "co", "https://e.org": "any", "https://q?x": "query",
+        "https://q/?x": "any", "ftp://e.co": "empty", "http": "any", "": "empty",
+    }
 
 
 def gold(spark, rows):
