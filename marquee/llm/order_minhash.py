@@ -4,19 +4,21 @@ A document is its sequence of five-word runs (``SHINGLE`` words, lower case). Ev
 with its occurrence number. For each of ``TABLES`` hash functions the ``KEEP`` labelled runs of the
 smallest hash are taken and put back in text order; their joint hash is the key of one table. Two
 documents meet in a table when they agree on those runs and on their order, which follows edit
-similarity rather than overlap of sets: at similarity 0.8 they miss all tables with a probability of
-about 1e-5.
+similarity rather than overlap of sets. A changed word costs up to five runs: copies that keep 0.65
+of their runs' union (about one word in twenty changed here and there) miss all tables with a
+probability of 0.006, those that keep 0.45 (one in ten) with 0.2; a test measures what is found.
 
-Similarity of two documents is measured on a banded alignment of their runs: with m runs matched in
-order, m / (n1 + n2 - m). The band holds all alignments that can reach the threshold, as those leave
-out at most (1 - s) / (1 + s) of the n1 + n2 runs. ``THRESHOLD`` is 0.8.
+Similarity of two documents is measured on a banded alignment of their words, of which one changed
+word breaks one and not five: with m words matched in order, m / (n1 + n2 - m). The band holds all
+alignments that can reach the threshold, as those leave out at most (1 - s) / (1 + s) of the n1 + n2
+words. ``THRESHOLD`` is 0.8.
 
 1. Equal texts are one node (md5), whatever their number.
 2. Candidates are families: connected components of the documents that share a table key, linked to
    the smallest node of their bucket, so a bucket of any size gives one edge per member.
 3. Within a family all pairs are judged that are not connected yet, in blocks: families above
    ``BLOCK`` documents are cut in chunks and each two chunks meet in a block of their own. Before the
-   alignment, the number of common labelled runs (an upper bound of the matches) comes from one
+   alignment, the number of common labelled words (an upper bound of the matches) comes from one
    matrix product per block. No pair is lost by a cap, and none is written: a block returns the
    links that join its groups.
 4. Groups are the connected components of the links; the document with the smallest id stays.
@@ -107,7 +109,7 @@ def matched(a: np.ndarray, b: np.ndarray, band: int) -> int:
 
 
 def similarity(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float:
-    """Matched runs over all runs, exact where it reaches the threshold."""
+    """Matched words over all words, exact where it reaches the threshold."""
     total = len(a) + len(b)
     if not total:
         return 1.0
@@ -141,9 +143,9 @@ def judge(block: pd.DataFrame) -> Iterable[pd.DataFrame]:
     if len(block) < 2:
         return
     low, high = int(block["low"].iloc[0]), int(block["high"].iloc[0])
-    runs = [shingles(word_numbers(text), SHINGLE) for text in block["text"]]
-    lengths = np.array([len(r) for r in runs])
-    labelled = [r + occurrences(r).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) for r in runs]
+    words = [word_numbers(text) for text in block["text"]]
+    lengths = np.array([len(w) for w in words])
+    labelled = [w + occurrences(w).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) for w in words]
     common = _common(labelled)
     bound = common / np.maximum(lengths[:, None] + lengths - common, 1)
     wanted = np.triu(bound >= THRESHOLD, 1)
@@ -163,7 +165,7 @@ def judge(block: pd.DataFrame) -> Iterable[pd.DataFrame]:
     found = []
     for x, y in zip(a[order].tolist(), b[order].tolist(), strict=True):
         if top(x) != top(y):
-            measured = similarity(runs[x], runs[y])
+            measured = similarity(words[x], words[y])
             if measured >= THRESHOLD:
                 root[top(y)] = top(x)
                 found.append((block["node"][x], block["node"][y], measured))

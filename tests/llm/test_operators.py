@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -387,3 +389,27 @@ def test_broken_pages_take_time_in_proportion():
         assert time.perf_counter() - started < 20, unit
     assert html_text.visible_text("<p>one</p><b title='a > b'>two</b> <i x=\"y>three") == "one\n\ntwo three"
     assert html_text.visible_text("a < b and <i>c</i> <d") == "a < b and c <d"
+
+
+def test_near_copies_against_all_pairs(spark):
+    """Recall over all differing texts whose words agree to 0.9 by a full alignment, and nothing else."""
+    folder = "/root/testdata/sf0.01"
+    if not os.path.exists(folder):
+        pytest.skip("generated tables are not available")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    group = {r.doc_id: r.class_id for r in order_minhash.near_duplicates(docs).collect()}
+    texts = {r.text: r.doc_id for r in docs.where("text is not null").orderBy("doc_id").collect()}
+    ids, words = list(texts.values()), [order_minhash.word_numbers(t) for t in texts]
+    sizes = np.array([len(w) for w in words])
+    labelled = [w + order_minhash.occurrences(w).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) for w in words]
+    bound = 2 * order_minhash._common(labelled) / np.maximum(sizes[:, None] + sizes, 1)
+    near = []
+    for x, y in zip(*np.nonzero(np.triu(bound >= 0.9, 1)), strict=True):
+        both = order_minhash.matched(words[x], words[y], int(max(sizes[x], sizes[y])))
+        near += [(ids[x], ids[y])] if 2 * both >= 0.9 * (sizes[x] + sizes[y]) else []
+    found = sum(group[a] == group[b] for a, b in near)
+    assert len(near) > 50 and found >= 0.9 * len(near)
+    # groups hold copies only: of two joined texts each is near some other text of the group
+    joined = {i for pair in near for i in pair}
+    sizes_of = Counter(group[i] for i in ids)
+    assert all(i in joined for i in ids if sizes_of[group[i]] > 1)
