@@ -42,6 +42,7 @@ SAMPLE = 20_000  # vectors per length that rotations are learned from, at most (
 ROUNDS = 30
 IN_BUCKET = 16
 BLOCK = 1024
+FEWEST_BITS = 4
 PAIRS = 2000  # sample pairs of a set on which codes are measured
 MOST_TABLES = 4096
 PRODUCTS = 512  # comparisons in a bucket that cost about as much as sending a vector to one
@@ -94,8 +95,12 @@ def sample_pairs(sample: np.ndarray, threshold: float, seed: int = SEED) -> list
     """
     random = np.random.default_rng(seed)
     anchors = sample[random.permutation(len(sample))[:PAIRS]]
-    product = anchors @ sample.T
-    a, b = np.nonzero((product >= threshold) & (product < threshold + (1 - threshold) / 10))
+    found = []
+    for start in range(0, len(anchors), 256):  # bounded memory: 256 rows of the product
+        product = anchors[start : start + 256] @ sample.T
+        x, y = np.nonzero((product >= threshold) & (product < threshold + (1 - threshold) / 10))
+        found.append((x + start, y))
+    a, b = (np.concatenate(side) for side in zip(*found, strict=True))
     some = random.permutation(len(a))[:PAIRS]
     sets = [(anchors[a[some]], sample[b[some]])] if len(a) >= PAIRS // 10 else []
     ways = sample[random.integers(len(sample), size=(2, len(anchors)))]
@@ -137,8 +142,7 @@ def plan(
 
     Centred codes of pairs at the threshold differ the more the further the vectors lie from the
     origin as a whole, so the learned codes themselves are measured on ``sample_pairs``. Of all
-    numbers of bits the one of least cost is taken; no bit at all is one table that compares every
-    pair. Tables are added until the pairs meet as asked.
+    numbers of bits the one of least cost is taken. Tables are added until the pairs meet as asked.
     """
     size = sample.shape[1]
 
@@ -146,25 +150,26 @@ def plan(
         bucket = count / 2**bits
         return tables * (max(1.0, bucket / BLOCK) + bucket / PRODUCTS)
 
-    every = (sample.mean(axis=0), np.zeros((size, 0)), 0, 1)
-    most = min(30, max(6, round(math.log2(max(count, 1) / IN_BUCKET))))
-    sets = sample_pairs(sample, threshold) if count > BLOCK else []
-    if not sets:
-        return every
+    if count <= IN_BUCKET:  # what a bucket holds
+        return sample.mean(axis=0), np.zeros((size, 0)), 0, 1
+    most = min(30, max(6, round(math.log2(count / IN_BUCKET))))
+    sets = sample_pairs(sample, threshold)
     mean, directions = learn(sample, max(256, 4 * size))
+    if not sets:  # all alike or of one dimension: one code holds them
+        return mean, directions[:, :FEWEST_BITS], FEWEST_BITS, 1
     agree = [
         (((a - mean) @ directions > 0) == ((b - mean) @ directions > 0)).mean(axis=1)
         for a, b in sets
     ]
     bits, tables = min(
-        ((b, _tables(agree, b, recall)) for b in range(1, most + 1)), key=lambda x: cost(*x)
+        ((b, _tables(agree, b, recall)) for b in range(FEWEST_BITS, most + 1)), key=lambda x: cost(*x)
     )
-    while cost(bits, tables) < cost(0, 1):
+    while tables <= MOST_TABLES:
         mean, directions = learn(sample, bits * tables)
         if measured(sets, mean, directions, bits) >= recall:
             return mean, directions, bits, tables
         tables += math.ceil(tables / 8)
-    return every
+    raise ValueError(f"no {MOST_TABLES} tables find pairs at cosine {threshold} with recall {recall}")
 
 
 def nodes(embeddings: DataFrame) -> DataFrame:

@@ -413,3 +413,24 @@ def test_near_copies_against_all_pairs(spark):
     joined = {i for pair in near for i in pair}
     sizes_of = Counter(group[i] for i in ids)
     assert all(i in joined for i in ids if sizes_of[group[i]] > 1)
+
+
+@pytest.mark.parametrize("count", [17, 500, 2000, 50_000])
+def test_codes_are_used_at_every_size(count):
+    """Bits above 0 beyond one bucket, and pairs at the threshold found by them against brute force."""
+    random = np.random.default_rng(count)
+    vectors = random.normal(size=(count, 64)) + 0.5 * random.normal(size=64)
+    half = count // 2
+    vectors[half : 2 * half] = vectors[:half] + 0.4 * random.normal(size=(half, 64))  # around cosine 0.9
+    vectors = itq.unit(vectors)
+    sample = vectors[random.permutation(count)[: itq.SAMPLE]]
+    mean, directions, bits, tables = itq.plan(sample, count)
+    assert bits >= itq.FEWEST_BITS
+    codes = ((vectors - mean) @ directions > 0).reshape(count, tables, bits) @ (1 << np.arange(bits))
+    links = found = 0
+    for start in range(0, min(count, 4096), 512):
+        a, b = np.nonzero(vectors[start : start + 512] @ vectors.T >= 0.9)
+        a, b = a[a + start != b] + start, b[a + start != b]
+        links += len(a)
+        found += (codes[a] == codes[b]).any(axis=1).sum()
+    assert found >= 0.9 * links > 0
