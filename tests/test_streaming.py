@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import os
+import time
 from datetime import UTC, datetime
 
 from pyspark.sql import functions as F
@@ -8,6 +10,7 @@ from marquee.operators.state import latest_state
 from marquee.schema import PAGES as PAGE_SCHEMA
 from marquee.sinks import tables
 from marquee.sources import registry, rules, runs
+from marquee.streaming.dedup import near_stream
 from marquee.streaming.incremental import run_stream
 from tests.pages import DOME, MARKET_2, PAGES, REGISTRY, RULES
 
@@ -50,3 +53,41 @@ def test_pages_arriving_over_time(spark, tmp_path):
     manifests = runs.read_manifests(spark, f"{root}/manifests")
     skips = manifests.select("run_id", F.col("metrics")["unchanged_skips"].alias("n")).collect()
     assert {r.run_id: r.n for r in skips}["stream-2-20240901"] == 1
+
+
+def test_stream_state_comes_to_an_end(spark, tmp_path):
+    """A key is forgotten after its time and let in again; within it, it is a duplicate."""
+    ddl = (
+        "seq long, title string, start string, `end` string, venue_name string, address string, "
+        "city string, source_id string"
+    )
+    source, kept = str(tmp_path / "in"), str(tmp_path / "kept")
+
+    def arrive(seq):
+        rows = [(seq, "t", "2024-05-01T10:00:00+00:00", None, "v", "", "c", "s")]
+        spark.createDataFrame(rows, ddl).coalesce(1).write.mode("append").parquet(source)
+
+    def wait_for(rows, seconds=90):
+        until = time.monotonic() + seconds
+        while time.monotonic() < until and (not os.path.exists(kept) or spark.read.schema("seq long").parquet(kept).count() < rows):
+            time.sleep(0.5)
+        return spark.read.schema("seq long").parquet(kept).count()
+
+    arrive(1)
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        stream = near_stream(spark.readStream.schema(ddl).parquet(source), ttl_ms=6_000).select("seq")
+        query = (
+            stream.writeStream.format("parquet").option("path", kept)
+            .option("checkpointLocation", str(tmp_path / "checkpoint")).start()
+        )
+        try:
+            assert wait_for(1) == 1
+            time.sleep(10)
+            arrive(2)
+            assert wait_for(2) == 2
+        finally:
+            query.stop()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert {r.seq for r in spark.read.schema("seq long").parquet(kept).collect()} == {1, 2}
