@@ -171,10 +171,10 @@ def pieces(
 
 
 def pack(cut_pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Sequences of the pieces: adds sequence_id, offset (gapless in the sequence) and padding.
+    """Sequences of the pieces: adds sequence_id and offset (gapless in the sequence).
 
     Sequences are numbered by class, then by rank, then the mixed ones; numbers of classes do not
-    overlap. ``padding`` is what the whole sequence lacks to the capacity, zero at a power of two.
+    overlap.
     """
     made = saved(cut_pieces, "pieces")
     counts = made.groupBy("class", "task").agg(F.count("*").alias("n"))
@@ -247,7 +247,7 @@ def _first_fit(leftover: DataFrame, capacity: int) -> DataFrame:
 
 
 def packed(documents: DataFrame, source: bytes, pattern: str | None = None) -> DataFrame:
-    """``pieces`` and ``pack`` with the contract's columns and the padding of each sequence's end."""
+    """``pieces`` and ``pack`` with the contract's columns."""
     out = pack(pieces(documents, source, pattern))
     return out.select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset",
