@@ -71,6 +71,7 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallel part
         self.model = Tokenizer.from_str(source.decode())
         self.seen: dict[str, bytes] = {"": b""}
+        self.marks: dict[str, bytes] = {}  # runs of up to four marks
         self.plain = True
         tried = ["a", "of", "zqxjkvb", "thereupon", "Wörter"[-3:], "end.", "so...", "Is?!", "x,;:"]
         self.plain = all(self._encode([t]) == [self._whole([t])[0]] for t in tried)
@@ -82,14 +83,28 @@ class Encoder:
     def _encode(self, chunks: list[str]) -> list[bytes]:
         """Ids of chunks, each a new one."""
         out: list[bytes | None] = []
-        tokenize = self.model.model.tokenize
+        tokenize, known, marked = self.model.model.tokenize, self.seen.get, self.marks
+
+        def direct(part: str) -> bytes:
+            return array("I", [t.id for t in tokenize(part)]).tobytes()
+
         for chunk in chunks:
             parts = PLAIN.fullmatch(chunk.lower()) if self.plain and chunk.isascii() else None
-            out.append(
-                array("I", [t.id for part in parts.groups() if part for t in tokenize(part)]).tobytes()
-                if parts
-                else None
-            )
+            if parts is None:
+                out.append(None)
+                continue
+            word, marks = parts.groups()
+            ids = known(word)
+            if ids is None:
+                ids = direct(word)
+            if marks:
+                own = marked.get(marks)
+                if own is None:
+                    own = direct(marks)
+                    if len(marks) <= 4:
+                        marked[marks] = own
+                ids += own
+            out.append(ids)
         rest = [at for at, ids in enumerate(out) if ids is None]
         for at, ids in zip(rest, self._whole([chunks[at] for at in rest]), strict=True):
             out[at] = ids

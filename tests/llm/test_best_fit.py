@@ -141,3 +141,22 @@ def test_every_token_is_packed_once(spark, source, tables):
     assert len(sequences) <= 1.02 * whole / 2048 + 1
     none = spark.createDataFrame([], "doc_id long, text string")
     assert best_fit.packed(none, source).collect() == []
+
+
+def test_a_known_word_is_not_encoded_again_for_its_marks(source):
+    from types import SimpleNamespace
+
+    encode = best_fit.Encoder(source)
+    model, asked = encode.model, []
+
+    def tokenize(part):
+        asked.append(part)
+        return model.model.tokenize(part)
+
+    encode.model = SimpleNamespace(
+        model=SimpleNamespace(tokenize=tokenize), encode_batch_fast=model.encode_batch_fast
+    )
+    texts = ["alpha beta", "Alpha, beta. alpha. beta,"]
+    want = [np.array(model.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert encode(texts) == want
+    assert asked.count("alpha") == 1 and asked.count("beta") == 1
