@@ -8,6 +8,12 @@ the stream's arrivals and not by dates in the rows. So no row is lost for being
 behind a watermark; what is let in again is a duplicate that comes later than that. Without
 ``ttl_ms`` nothing is forgotten. A stream with ``ttl_ms`` runs until it is stopped, as time goes on
 without rows too: give it a trigger by time, not one that ends when the input does.
+
+Keys are dealt over ``buckets``, and a bucket is what Spark hands to Python: a call, a frame in and a
+frame out cost milliseconds each, which one key with its few rows would pay alone. State is still
+read and written by key, so a micro-batch touches the keys it holds and no others. The new keys of a
+bucket in one micro-batch are in memory together: give more buckets to micro-batches of a billion
+rows. A checkpoint goes on with the number it was begun with.
 """
 
 from __future__ import annotations
@@ -18,11 +24,14 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from marquee.operators.dedup import with_keys
 
+BUCKETS = 1024
+
 
 def _place(seq):
     """Arrival order of a row: a number, a text, or a struct of those."""
@@ -30,84 +39,136 @@ def _place(seq):
 
 
 class _FirstOfKey(StatefulProcessor):
-    """Passes the first row of a key that has passed none yet, one chunk of rows in memory."""
+    """Passes the first row of each key of a bucket that has passed none yet.
+
+    In memory are one chunk of rows, and of the others at most twice as many as there are new keys.
+    """
 
     def __init__(self, ttl_ms: int | None) -> None:
         self._ttl = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        key = T.StructType([T.StructField("dedup_key", T.StringType()), T.StructField("dated", T.BooleanType())])
         mark = T.StructType([T.StructField("passed", T.BooleanType())])
-        self._passed = handle.getValueState("passed", mark, self._ttl)
+        self._passed = handle.getMapState("passed_keys", key, mark, self._ttl)
+
+    def _known(self, key: tuple) -> bool:
+        known = self._passed.containsKey(key)
+        if not known or self._ttl is not None:
+            self._passed.updateValue(key, (True,))  # a key that comes again is remembered on
+        return known
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        first = None
-        known = self._passed.exists()
+        first, passed, held = {}, set(), []
         for chunk in rows:
-            if known or not len(chunk):
-                continue
-            at = min(range(len(chunk)), key=lambda i: _place(chunk["seq"].iloc[i]))
-            if first is None or _place(chunk["seq"].iloc[at]) < _place(first["seq"].iloc[0]):
-                first = chunk.iloc[[at]]
-        if known or first is not None:
-            self._passed.update((True,))  # a key that comes again is remembered on
-        if first is not None:
-            yield first
+            won = {}
+            for at, (*key, seq) in enumerate(zip(chunk["dedup_key"], chunk["dated"], chunk["seq"], strict=True)):
+                key = tuple(key)
+                if key in passed:
+                    continue
+                if key not in first:
+                    if self._known(key):
+                        passed.add(key)
+                        continue
+                elif not _place(seq) < first[key]:
+                    continue
+                first[key], won[key] = _place(seq), at
+            if won:
+                held.append(chunk.iloc[list(won.values())])
+            if sum(map(len, held)) > 2 * len(first):
+                held = [_last_of_key(held)]
+        if held:
+            yield _last_of_key(held)
 
     def close(self) -> None:
         pass
 
 
+def _last_of_key(frames: list[pd.DataFrame]) -> pd.DataFrame:
+    """Of the rows of a key each comes before those found earlier: the last one is the first."""
+    return pd.concat(frames, ignore_index=True).drop_duplicates(["dedup_key", "dated"], keep="last")
+
+
 class _KeptDays(StatefulProcessor):
-    """Keeps a row when no kept day of its identity is the same day or one next to it."""
+    """Keeps a row when no kept day of its identity is the same day or one next to it.
+
+    The kept days of an identity lie in spans of days, so a row touches two of them at most and most
+    rows of an identity touch the same.
+    """
+
+    SPAN = 64
 
     def __init__(self, ttl_ms: int | None) -> None:
         self._ttl = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        day = T.StructType([T.StructField("day", T.IntegerType())])
-        mark = T.StructType([T.StructField("kept", T.BooleanType())])
-        self._kept = handle.getMapState("kept_days", day, mark, self._ttl)
+        span = T.StructType([T.StructField("identity", T.StringType()), T.StructField("span", T.LongType())])
+        days = T.StructType([
+            T.StructField("days", T.ArrayType(T.LongType())), T.StructField("kept_at", T.ArrayType(T.LongType()))
+        ])
+        self._kept = handle.getMapState("kept_spans", span, days, self._ttl)
+
+    def _days(self, span: tuple, now: int) -> dict[int, int]:
+        """Kept days of a span, with the time they were kept at; a span is as old as its last day."""
+        found = self._kept.getValue(span) if self._kept.containsKey(span) else None
+        days = {} if found is None else dict(zip(found[0], found[1], strict=True))
+        return days if self._ttl is None else {day: at for day, at in days.items() if at + self._ttl > now}
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        # the exact step leaves two rows per day at most, so the group is small
+        # the exact step leaves two rows per identity and day at most, so the bucket is small
         batch = pd.concat(list(rows), ignore_index=True)
-        batch = batch.iloc[sorted(range(len(batch)), key=lambda at: _place(batch["seq"].iloc[at]))]
+        now = 0 if self._ttl is None else timerValues.getCurrentProcessingTimeInMs()
+        places: dict[str, list[tuple]] = {}
+        columns = (batch[name] for name in ("identity", "seq", "day", "dated"))
+        for at, (identity, seq, day, dated) in enumerate(zip(*columns, strict=True)):
+            places.setdefault(identity, []).append((_place(seq), at, day, dated))
         chosen = []
-        for at, (day, dated) in enumerate(zip(batch["day"], batch["dated"], strict=True)):
-            if pd.isna(day):  # text that is no date: its own key decides
-                chosen.append(at)
-                continue
-            near = (day, day - 1, day + 1) if dated else (day,)
-            if not any(self._kept.containsKey((int(d),)) for d in near):
-                self._kept.updateValue((int(day),), (True,))
-                chosen.append(at)
+        for identity, arrivals in places.items():
+            spans, changed = {}, set()
+            for _, at, day, dated in sorted(arrivals, key=lambda arrival: arrival[0]):
+                if pd.isna(day):  # text that is no date: its own key decides
+                    chosen.append(at)
+                    continue
+                day = int(day)
+                near = (day, day - 1, day + 1) if dated else (day,)
+                for span in {d // self.SPAN for d in near} - spans.keys():
+                    spans[span] = self._days((identity, span), now)
+                if not any(d in spans[d // self.SPAN] for d in near):
+                    spans[day // self.SPAN][day] = now
+                    changed.add(day // self.SPAN)
+                    chosen.append(at)
+            for span in changed:
+                self._kept.updateValue((identity, span), (list(spans[span]), list(spans[span].values())))
         yield batch.iloc[chosen]
 
     def close(self) -> None:
         pass
 
 
-def _stateful(entities: DataFrame, keys: list[str], processor: StatefulProcessor, ttl_ms: int | None):
+def _stateful(
+    entities: DataFrame, keys: list[str], processor: StatefulProcessor, ttl_ms: int | None, buckets: int
+) -> DataFrame:
     # the process that sets the state up on the driver cannot import this package: send the class
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    return entities.groupBy(*keys).transformWithStateInPandas(
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("state_bucket")
+    return entities.select("*", bucket).groupBy("state_bucket").transformWithStateInPandas(
         statefulProcessor=processor,
         outputStructType=entities.schema,
         outputMode="Append",
         timeMode="None" if ttl_ms is None else "ProcessingTime",
-    )
+    )
 
 
-def exact_stream(entities: DataFrame, ttl_ms: int | None = None) -> DataFrame:
+def exact_stream(entities: DataFrame, ttl_ms: int | None = None, buckets: int = BUCKETS) -> DataFrame:
     """First row per deduplication key, however late it comes."""
-    return _stateful(with_keys(entities), ["dedup_key", "dated"], _FirstOfKey(ttl_ms), ttl_ms)
+    return _stateful(with_keys(entities), ["dedup_key", "dated"], _FirstOfKey(ttl_ms), ttl_ms, buckets)
 
 
-def near_stream(entities: DataFrame, ttl_ms: int | None = None) -> DataFrame:
+def near_stream(entities: DataFrame, ttl_ms: int | None = None, buckets: int = BUCKETS) -> DataFrame:
     """Rows of an entity stream that duplicate no earlier row, with their key columns.
 
     Arrival order is the order of micro-batches, and of ``seq`` (a number, a text, or a struct)
     within one. Use `incremental.dedup_batch` where copies of a row in one micro-batch may come in
     great numbers: it reduces them before the shuffle.
     """
-    return _stateful(exact_stream(entities, ttl_ms), ["identity"], _KeptDays(ttl_ms), ttl_ms)
+    return _stateful(exact_stream(entities, ttl_ms, buckets), ["identity"], _KeptDays(ttl_ms), ttl_ms, buckets)
