@@ -3,17 +3,23 @@
 The exact step passes the first row of a key, which spreads a busy identity over its days; the near
 step then keeps, per identity, the set of kept days.
 
+Nearly every row has a key of its own, so the exact step makes no call to the state store from Python:
+the rows of a micro-batch are reduced to the first of each key, and Spark's own streaming
+deduplication remembers the keys. In memory are the new keys of one task in one micro-batch: give
+more shuffle partitions to micro-batches of a billion rows.
+
 Both states have an end: an entry that no row has touched for ``ttl_ms`` is forgotten, by the clock of
 the stream's arrivals and not by dates in the rows. So no row is lost for being late, as it would be
 behind a watermark; what is let in again is a duplicate that comes later than that. Without
 ``ttl_ms`` nothing is forgotten. A stream with ``ttl_ms`` runs until it is stopped, as time goes on
-without rows too: give it a trigger by time, not one that ends when the input does.
-
-Keys are dealt over ``buckets``, and a bucket is what Spark hands to Python: a call, a frame in and a
-frame out cost milliseconds each, which one key with its few rows would pay alone. State is still
-read and written by key, so a micro-batch touches the keys it holds and no others. The new keys of a
-bucket in one micro-batch are in memory together: give more buckets to micro-batches of a billion
-rows. A checkpoint goes on with the number it was begun with.
+without rows too: give it a trigger by time, not one that ends when the input does. Spark's
+deduplication has no such end, so with ``ttl_ms`` each key of the exact step costs two calls.
+
+Keys of state that Python reads are dealt over ``buckets``, and a bucket is what Spark hands to
+Python: a call, a frame in and a frame out cost milliseconds each, which one key with its few rows
+would pay alone. State is still read and written by key, so a micro-batch touches the keys it holds
+and no others. A checkpoint goes on with the number it was begun with, and one begun when the exact
+step had state in buckets without ``ttl_ms`` too is begun anew.
 """
 
 from __future__ import annotations
@@ -21,7 +27,10 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +40,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from marquee.operators.dedup import with_keys
 
 BUCKETS = 1024
+REDUCED_AT = 65_536
+EXACT_KEY = ["dedup_key", "dated"]
 
 
 def _place(seq):
@@ -38,13 +49,44 @@ def _place(seq):
     return tuple(seq.values()) if isinstance(seq, dict) else tuple(seq) if isinstance(seq, (tuple, list)) else (seq,)
 
 
-class _FirstOfKey(StatefulProcessor):
-    """Passes the first row of each key of a bucket that has passed none yet.
+def _winners(batches: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    """Of the rows of each key the first in arrival order; rows without a place in it come last."""
+    thin = pa.Table.from_batches([batch.select([*EXACT_KEY, "seq"]) for batch in batches])
+    seq = thin.column("seq")
+    parts = seq.flatten() if pa.types.is_struct(seq.type) else [seq]
+    places = pa.table(parts, names=[str(number) for number in range(len(parts))])
+    order = pc.sort_indices(places, sort_keys=[(name, "ascending") for name in places.column_names]).to_numpy()
+    rank = np.empty(thin.num_rows, np.int64)
+    rank[order] = np.arange(thin.num_rows)
+    keyed = thin.select(EXACT_KEY).append_column("rank", pa.array(rank))
+    won = np.zeros(thin.num_rows, bool)
+    won[order[keyed.group_by(EXACT_KEY).aggregate([("rank", "min")])["rank_min"].to_numpy()]] = True
+    ends = np.cumsum([batch.num_rows for batch in batches])
+    chosen = (batch.filter(pa.array(mine)) for batch, mine in zip(batches, np.split(won, ends[:-1]), strict=True))
+    return [batch for batch in chosen if batch.num_rows]
+
+
+def _first_of_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of each key in the rows of a task.
 
-    In memory are one chunk of rows, and of the others at most twice as many as there are new keys.
+    In memory are at most twice as many rows as there are keys, or ``REDUCED_AT``.
     """
+    held, rows, most = [], 0, REDUCED_AT
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows > most:
+            held = _winners(held)
+            rows = sum(batch.num_rows for batch in held)
+            most = max(REDUCED_AT, 2 * rows)
+    if rows:
+        yield from _winners(held)
 
-    def __init__(self, ttl_ms: int | None) -> None:
+
+class _FirstOfKey(StatefulProcessor):
+    """Passes the rows of a bucket, one a key, whose key has passed none yet."""
+
+    def __init__(self, ttl_ms: int) -> None:
         self._ttl = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -54,41 +96,18 @@ class _FirstOfKey(StatefulProcessor):
 
     def _known(self, key: tuple) -> bool:
         known = self._passed.containsKey(key)
-        if not known or self._ttl is not None:
-            self._passed.updateValue(key, (True,))  # a key that comes again is remembered on
+        self._passed.updateValue(key, (True,))  # a key that comes again is remembered on
         return known
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        first, passed, held = {}, set(), []
         for chunk in rows:
-            won = {}
-            for at, (*key, seq) in enumerate(zip(chunk["dedup_key"], chunk["dated"], chunk["seq"], strict=True)):
-                key = tuple(key)
-                if key in passed:
-                    continue
-                if key not in first:
-                    if self._known(key):
-                        passed.add(key)
-                        continue
-                elif not _place(seq) < first[key]:
-                    continue
-                first[key], won[key] = _place(seq), at
-            if won:
-                held.append(chunk.iloc[list(won.values())])
-            if sum(map(len, held)) > 2 * len(first):
-                held = [_last_of_key(held)]
-        if held:
-            yield _last_of_key(held)
+            keys = zip(*(chunk[name] for name in EXACT_KEY), strict=True)
+            yield chunk[np.array([not self._known(key) for key in keys], bool)]
 
     def close(self) -> None:
         pass
 
 
-def _last_of_key(frames: list[pd.DataFrame]) -> pd.DataFrame:
-    """Of the rows of a key each comes before those found earlier: the last one is the first."""
-    return pd.concat(frames, ignore_index=True).drop_duplicates(["dedup_key", "dated"], keep="last")
-
-
 class _KeptDays(StatefulProcessor):
     """Keeps a row when no kept day of its identity is the same day or one next to it.
 
@@ -145,11 +164,15 @@ class _KeptDays(StatefulProcessor):
         pass
 
 
+def _sent_by_value() -> None:
+    """The process that sets the state up on the driver cannot import this package: send what it needs."""
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def _stateful(
     entities: DataFrame, keys: list[str], processor: StatefulProcessor, ttl_ms: int | None, buckets: int
 ) -> DataFrame:
-    # the process that sets the state up on the driver cannot import this package: send the class
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    _sent_by_value()
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("state_bucket")
     return entities.select("*", bucket).groupBy("state_bucket").transformWithStateInPandas(
         statefulProcessor=processor,
@@ -160,8 +183,16 @@ def _stateful(
 
 
 def exact_stream(entities: DataFrame, ttl_ms: int | None = None, buckets: int = BUCKETS) -> DataFrame:
-    """First row per deduplication key, however late it comes."""
-    return _stateful(with_keys(entities), ["dedup_key", "dated"], _FirstOfKey(ttl_ms), ttl_ms, buckets)
+    """First row per deduplication key, however late it comes.
+
+    Spark's deduplication passes any row of a key of a micro-batch, so it is given one.
+    """
+    _sent_by_value()
+    keyed = with_keys(entities)
+    first = keyed.repartition(*EXACT_KEY).mapInArrow(_first_of_key, keyed.schema)
+    if ttl_ms is None:
+        return first.dropDuplicates(EXACT_KEY)
+    return _stateful(first, EXACT_KEY, _FirstOfKey(ttl_ms), ttl_ms, buckets)
 
 
 def near_stream(entities: DataFrame, ttl_ms: int | None = None, buckets: int = BUCKETS) -> DataFrame:

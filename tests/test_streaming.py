@@ -1,16 +1,20 @@
 from __future__ import annotations
 
 import os
+import random
 import time
 from datetime import UTC, datetime
 
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from marquee.operators.state import latest_state
 from marquee.schema import PAGES as PAGE_SCHEMA
 from marquee.sinks import tables
 from marquee.sources import registry, rules, runs
-from marquee.streaming.dedup import near_stream
+from marquee.streaming import dedup
+from marquee.streaming.dedup import exact_stream, near_stream
 from marquee.streaming.incremental import run_stream
 from tests.pages import DOME, MARKET_2, PAGES, REGISTRY, RULES
 
@@ -91,3 +95,65 @@ def test_stream_state_comes_to_an_end(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert {r.seq for r in spark.read.schema("seq long").parquet(kept).collect()} == {1, 2}
+
+
+def test_the_exact_step_calls_no_state_from_python(spark, tmp_path):
+    """The first row of a key passes: of the earliest micro-batch, and of that the lowest place."""
+    ddl = (
+        "seq struct<part long, no string>, title string, start string, `end` string, venue_name string, "
+        "address string, city string, source_id string"
+    )
+    rng, source, want = random.Random(5), str(tmp_path / "in"), {}
+    os.mkdir(source)
+    stream = exact_stream(spark.readStream.schema(ddl).parquet(source)).select("title", "start", "seq")
+    for batch in range(3):
+        places = [(part, str(no)) for part in range(20) for no in range(20)]
+        rows = [
+            (place, rng.choice("abc"), rng.choice([None, "soon", *[f"2024-05-{day:02}" for day in range(1, 31)]]))
+            for place in rng.sample(places, 90)
+        ]
+        new = {}
+        for place, *key in sorted(rows):
+            new.setdefault(tuple(key), place)
+        want = new | want
+        entities = [(place, title, start, None, "v", "", "c", "s") for place, title, start in rows]
+        spark.createDataFrame(entities, ddl).repartition(3).write.mode("append").parquet(source)
+        query = (
+            stream.writeStream.format("parquet").option("path", str(tmp_path / "kept"))
+            .option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        operators = {state["operatorName"] for at in query.recentProgress for state in at["stateOperators"]}
+        assert operators == {"dedupe"}, batch
+    kept = spark.read.parquet(str(tmp_path / "kept")).collect()
+    assert len(kept) == len(want)
+    assert {(r.title, r.start): tuple(r.seq) for r in kept} == want
+
+
+@pytest.mark.parametrize("struct", [False, True])
+def test_first_rows_of_a_task_in_little_memory(monkeypatch, struct):
+    """Reduced as the batches come; a row without a place yields to those with one."""
+    monkeypatch.setattr(dedup, "REDUCED_AT", 8)
+    rng = random.Random(3)
+    rows = [(rng.choice(["a", "b", "c", None]), rng.random() < 0.5, seq if seq % 7 else None) for seq in range(200)]
+    rng.shuffle(rows)
+    kind = pa.struct([("part", pa.int64()), ("no", pa.string())]) if struct else pa.int64()
+
+    def place(seq):
+        return seq if seq is None or not struct else {"part": seq // 10, "no": str(seq % 10)}
+
+    batches = [
+        pa.record_batch([
+            pa.array([key for key, _, _ in part], pa.string()), pa.array([dated for _, dated, _ in part]),
+            pa.array([place(seq) for _, _, seq in part], kind),
+        ], ["dedup_key", "dated", "seq"])
+        for part in (rows[at : at + 5] for at in range(0, 200, 5))
+    ]
+    want = {}
+    for key, dated, seq in rows:
+        if seq is not None:
+            want[key, dated] = min(seq, want.get((key, dated), seq))
+    got = [row for batch in dedup._first_of_key(iter(batches)) for row in batch.to_pylist()]
+    assert len(got) == len(want)
+    assert {(r["dedup_key"], r["dated"]): r["seq"] for r in got} == {key: place(seq) for key, seq in want.items()}
+    assert not list(dedup._first_of_key(iter(())))
